@@ -1,0 +1,116 @@
+"""The whole model graph for one input folder, as lazily built DataFrames.
+
+``Pipeline(spark, sf_dir)`` reads only the driver tables a model needs
+(column-pruned parquet scans) and exposes each model as a cached property,
+so queries that share a model share one logical plan.  Nothing is
+materialised unless ``persist_shared()`` is called (bench) or a caller
+writes a layer out (``write_layers``).
+"""
+
+from __future__ import annotations
+
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tokenledger.plans import core, staging
+from tokenledger.sources import feeds
+
+
+class Pipeline:
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir.rstrip("/")
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+    # ---- raw feeds -------------------------------------------------------
+    @cached_property
+    def line_base(self) -> DataFrame:
+        return feeds.line_base(self.table("lineitem"))
+
+    @cached_property
+    def model_map(self) -> DataFrame:
+        return feeds.model_map(self.spark)
+
+    @cached_property
+    def service_tier_map(self) -> DataFrame:
+        return feeds.service_tier_map(self.spark)
+
+    @cached_property
+    def rate_card(self) -> DataFrame:
+        return feeds.rate_card(self.spark)
+
+    @cached_property
+    def bridge(self) -> DataFrame:
+        return feeds.bridge(self.spark)
+
+    @cached_property
+    def experiment_control(self) -> DataFrame:
+        return feeds.experiment_control(self.spark)
+
+    @cached_property
+    def experiment_decision(self) -> DataFrame:
+        return feeds.experiment_decision(self.spark)
+
+    @cached_property
+    def raw_usage(self) -> DataFrame:
+        return feeds.provider_usage(self.line_base)
+
+    @cached_property
+    def raw_telemetry(self) -> DataFrame:
+        return feeds.request_telemetry(self.line_base, self.model_map, self.rate_card)
+
+    @cached_property
+    def raw_cost(self) -> DataFrame:
+        return feeds.usage_cost_lines(self.usage_cost_monthly).unionByName(
+            feeds.non_usage_cost_lines(self.table("orders")))
+
+    # ---- staging -----------------------------------------------------------
+    @cached_property
+    def usage_normalized(self) -> DataFrame:
+        return staging.usage_normalized(self.raw_usage, self.model_map, self.service_tier_map)
+
+    @cached_property
+    def usage_priced(self) -> DataFrame:
+        return staging.usage_priced(self.usage_normalized, self.rate_card)
+
+    @cached_property
+    def provider_cost_stg(self) -> DataFrame:
+        return staging.provider_cost(self.raw_cost)
+
+    @cached_property
+    def telemetry_stg(self) -> DataFrame:
+        return staging.request_telemetry(self.raw_telemetry)
+
+    # ---- core --------------------------------------------------------------
+    @cached_property
+    def usage_cost_monthly(self) -> DataFrame:
+        return core.usage_cost_monthly(self.usage_priced)
+
+    @cached_property
+    def cost_reconciliation(self) -> DataFrame:
+        return core.cost_reconciliation(self.provider_cost_stg, self.usage_cost_monthly)
+
+    @cached_property
+    def usage_daily(self) -> DataFrame:
+        return core.usage_daily_allocation(self.usage_priced, self.bridge)
+
+    @cached_property
+    def app_driver_monthly(self) -> DataFrame:
+        return core.application_invoice_driver_monthly(self.usage_daily)
+
+    @cached_property
+    def telemetry_recon_daily(self) -> DataFrame:
+        return core.telemetry_reconciliation_daily(self.usage_priced, self.telemetry_stg)
+
+
+_CACHE: dict[tuple[int, str], Pipeline] = {}
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
+    key = (id(spark), sf_dir.rstrip("/"))
+    if key not in _CACHE:
+        _CACHE[key] = Pipeline(spark, sf_dir)
+    return _CACHE[key]
