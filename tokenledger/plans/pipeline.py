@@ -13,7 +13,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tokenledger.plans import core, staging
+from tokenledger.plans import core, marts, staging
 from tokenledger.sources import feeds
 
 
@@ -105,6 +105,45 @@ class Pipeline:
     def telemetry_recon_daily(self) -> DataFrame:
         return core.telemetry_reconciliation_daily(self.usage_priced, self.telemetry_stg)
 
+    # ---- marts -------------------------------------------------------------
+    @cached_property
+    def telemetry_coverage_monthly(self) -> DataFrame:
+        return marts.telemetry_coverage_monthly(self.telemetry_recon_daily)
+
+    @cached_property
+    def token_economics(self) -> DataFrame:
+        return marts.token_economics(self.usage_priced, self.rate_card, self.telemetry_stg)
+
+    @cached_property
+    def application_cost(self) -> DataFrame:
+        return marts.application_cost(self.cost_reconciliation, self.app_driver_monthly)
+
+    @cached_property
+    def optimization(self) -> DataFrame:
+        return marts.optimization(self.token_economics, self.telemetry_coverage_monthly)
+
+    @cached_property
+    def unit_economics(self) -> DataFrame:
+        return marts.unit_economics(self.token_economics, self.cost_reconciliation,
+                                    self.telemetry_coverage_monthly)
+
+    @cached_property
+    def experiment_driver_daily(self) -> DataFrame:
+        return marts.experiment_driver_daily(self.telemetry_stg, self.cost_reconciliation,
+                                             self.telemetry_coverage_monthly)
+
+    @cached_property
+    def experiment_daily(self) -> DataFrame:
+        return marts.experiment_daily(self.experiment_control, self.experiment_driver_daily)
+
+    @cached_property
+    def experiment_periods(self) -> DataFrame:
+        return marts.experiment_periods(self.experiment_daily)
+
+    @cached_property
+    def experiments(self) -> DataFrame:
+        return marts.experiment_governance(self.experiment_periods, self.experiment_decision)
+
 
 _CACHE: dict[tuple[int, str], Pipeline] = {}
 

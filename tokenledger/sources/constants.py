@@ -45,8 +45,10 @@ COVERAGE_STATUSES = [
 ]
 NON_USAGE_LINE_TYPES = ["credit", "commitment_true_up", "correction", "adjustment", "tax"]
 RECOMMENDATION_TYPES = [
-    "batch_processing", "retry_reduction", "telemetry_coverage", "prompt_caching",
+    "BATCH_MIGRATION", "RETRY_REDUCTION", "TELEMETRY_COVERAGE", "CACHE_REUSE_ASSESSMENT",
 ]
+# recommendations are stamped with this date instead of the run date (repeatable output)
+AS_OF_DATE = _dt.date(2026, 7, 1)
 
 # reconciliation tolerance: a row passes if |variance| <= 1.00 USD or |pct| <= 1 %
 ABS_TOLERANCE_USD = D("1.00")
