@@ -13,7 +13,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tokenledger.plans import core, marts, staging
+from tokenledger.plans import core, marts, semantic, staging
 from tokenledger.sources import feeds
 
 
@@ -144,6 +144,47 @@ class Pipeline:
     def experiments(self) -> DataFrame:
         return marts.experiment_governance(self.experiment_periods, self.experiment_decision)
 
+    # ---- semantic ----------------------------------------------------------
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return semantic.dim_date(self.usage_priced)
+
+    @cached_property
+    def dim_provider(self) -> DataFrame:
+        return semantic.dim_provider(self.token_economics, self.application_cost)
+
+    @cached_property
+    def dim_model(self) -> DataFrame:
+        return semantic.dim_model(self.token_economics, self.application_cost)
+
+    @cached_property
+    def dim_application(self) -> DataFrame:
+        return semantic.dim_application(self.application_cost)
+
+    @cached_property
+    def dim_experiment(self) -> DataFrame:
+        return semantic.dim_experiment(self.experiment_control)
+
+    @cached_property
+    def fact_financial_monthly(self) -> DataFrame:
+        return semantic.fact_financial_monthly(self.application_cost)
+
+    @cached_property
+    def fact_usage_monthly(self) -> DataFrame:
+        return semantic.fact_usage_monthly(self.token_economics)
+
+    @cached_property
+    def fact_unit_economics_monthly(self) -> DataFrame:
+        return semantic.fact_unit_economics_monthly(self.unit_economics)
+
+    @cached_property
+    def fact_optimization_monthly(self) -> DataFrame:
+        return semantic.fact_optimization_monthly(self.optimization)
+
+    @cached_property
+    def fact_experiment_current(self) -> DataFrame:
+        return semantic.fact_experiment_current(self.experiments)
+
 
 _CACHE: dict[tuple[int, str], Pipeline] = {}
 

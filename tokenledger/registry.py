@@ -5,8 +5,9 @@ from __future__ import annotations
 
 def all_queries():
     from tokenledger import queries  # noqa: F401  (registers core queries)
+    from tokenledger import queries_marts, queries_semantic  # noqa: F401
     try:
-        from tokenledger import queries_marts  # noqa: F401
+        from tokenledger import queries_quality  # noqa: F401
     except ImportError:
         pass
     return queries.REGISTRY
