@@ -5,9 +5,9 @@ Conventions (kept identical in the DuckDB oracle texts):
 * money is ``DECIMAL(28,9)``; every money operation re-rounds to 9 decimals,
   the way a fixed-scale NUMERIC warehouse type behaves;
 * rates are ``DECIMAL(10,6)``, discounts ``DECIMAL(5,4)``, token counts BIGINT;
-* ratios are DOUBLE, computed from operands rounded to 6 decimals so that
-  every engine sees the same binary inputs; a zero or NULL denominator gives
-  NULL (SAFE_DIVIDE semantics; plain ``/`` raises under ANSI mode);
+* ratios are DOUBLE quotients of the operands converted to DOUBLE; a zero
+  or NULL denominator gives NULL (SAFE_DIVIDE semantics; plain ``/`` raises
+  under ANSI mode);
 * ``strict_greatest`` is NULL when any argument is NULL (Spark's
   ``greatest`` skips NULLs).
 """
@@ -56,9 +56,12 @@ def out_money(expr) -> Column:
 
 
 def ratio(num, den, num_is_money: bool = False, den_is_money: bool = False) -> Column:
-    """SAFE_DIVIDE as DOUBLE; NULL on a zero or NULL denominator."""
-    n = as_double(num) if num_is_money else col_(num).cast("double")
-    d = as_double(den) if den_is_money else col_(den).cast("double")
+    """SAFE_DIVIDE as DOUBLE; NULL on a zero or NULL denominator.
+
+    Operands are converted straight to DOUBLE (correctly rounded), so shares
+    used as multipliers keep full precision and sum to 1 within 1e-15."""
+    n = col_(num).cast("double")
+    d = col_(den).cast("double")
     return F.when(d != 0, n / d)
 
 
@@ -73,4 +76,4 @@ def strict_greatest(*cols) -> Column:
 
 def money_times_ratio(amount, share) -> Column:
     """Money x DOUBLE share, re-rounded to money (the share is a ratio)."""
-    return F.round(as_double(amount) * col_(share), 9).cast(MONEY)
+    return F.round(col_(amount).cast("double") * col_(share), 9).cast(MONEY)

@@ -23,13 +23,13 @@ def dbl(x: str) -> str:
 
 
 def ratio(num: str, den: str, num_money: bool = False, den_money: bool = False) -> str:
-    n = dbl(num) if num_money else f"CAST({num} AS DOUBLE)"
-    d = dbl(den) if den_money else f"CAST({den} AS DOUBLE)"
+    n = f"CAST({num} AS DOUBLE)"
+    d = f"CAST({den} AS DOUBLE)"
     return f"(CASE WHEN {d} <> 0 THEN {n} / {d} END)"
 
 
 def money_times_ratio(amount: str, share: str) -> str:
-    return f"CAST(ROUND({dbl(amount)} * ({share}), 9) AS {MONEY})"
+    return f"CAST(ROUND(CAST({amount} AS DOUBLE) * ({share}), 9) AS {MONEY})"
 
 
 def hash_key(*cols: str) -> str:
