@@ -185,12 +185,88 @@ class Pipeline:
     def fact_experiment_current(self) -> DataFrame:
         return semantic.fact_experiment_current(self.experiments)
 
+    # ---- quality -----------------------------------------------------------
+    @cached_property
+    def line_item_totals(self) -> DataFrame:
+        """Per line type: source invoice total and distributed total, as a
+        union of the two grouped sides (full-outer parity without a join)."""
+        from pyspark.sql import functions as F
+        src = (self.cost_reconciliation.groupBy("line_item_type")
+               .agg(F.sum("invoice_billed_cost").alias("source_cost"))
+               .withColumn("distributed_cost", F.lit(None).cast("decimal(38,9)")))
+        dst = (self.application_cost.groupBy("line_item_type")
+               .agg((F.sum("allocated_invoice_billed_cost") + F.sum("unallocated_invoice_billed_cost"))
+                    .cast("decimal(38,9)").alias("distributed_cost"))
+               .withColumn("source_cost", F.lit(None).cast("decimal(38,9)")))
+        return src.unionByName(dst)
+
+    @cached_property
+    def stage_control_results(self) -> DataFrame:
+        from tokenledger.quality.controls import catalogue, evaluate
+        from tokenledger.sources.constants import EXPECTED_PIPELINES
+        return evaluate(self, [c for c in catalogue() if c.stage in EXPECTED_PIPELINES])
+
+    @cached_property
+    def pipeline_status(self) -> DataFrame:
+        from tokenledger.quality.status import pipeline_status
+        return pipeline_status(self.spark, self.stage_control_results)
+
+    @cached_property
+    def control_results(self) -> DataFrame:
+        from tokenledger.quality.controls import evaluate
+        return evaluate(self)
+
+    @cached_property
+    def control_catalog(self) -> DataFrame:
+        from tokenledger.quality.controls import catalogue
+        from tokenledger.quality.status import control_catalog
+        return control_catalog(self.spark, catalogue())
+
+    @cached_property
+    def control_status(self) -> DataFrame:
+        from tokenledger.quality.status import control_status
+        return control_status(self.control_results, self.control_catalog)
+
+
+    # ---- materialisation -----------------------------------------------------
+    def materialize(self, names: list[str] | None = None, base: str | None = None) -> str:
+        """Write each model layer (in dependency order) as Parquet under the
+        session's shared checkpoint folder and read it back, like the
+        warehouse tables of the reference.  Later models then start from a
+        short lineage (a scan), which keeps wide plans (the control suite)
+        small and lets a lost executor recompute from the written layer
+        instead of from the raw feeds."""
+        import uuid
+
+        from tokenledger.session import checkpoint_dir
+        base = base or f"{checkpoint_dir(self.spark).rstrip('/')}/layers-{uuid.uuid4().hex[:12]}"
+        for n in names or LAYER_ORDER:
+            path = f"{base}/{n}"
+            getattr(self, n).write.mode("overwrite").parquet(path)
+            self.__dict__[n] = self.spark.read.parquet(path)
+        return base
+
+
+# dependency order of the model layers
+LAYER_ORDER = [
+    "raw_usage", "usage_normalized", "usage_priced", "usage_cost_monthly", "raw_cost", "provider_cost_stg",
+    "raw_telemetry", "telemetry_stg", "cost_reconciliation", "usage_daily", "app_driver_monthly",
+    "telemetry_recon_daily", "telemetry_coverage_monthly", "token_economics", "application_cost",
+    "optimization", "unit_economics", "experiment_driver_daily", "experiment_daily", "experiment_periods",
+    "experiments", "dim_date", "dim_provider", "dim_model", "dim_application", "fact_financial_monthly",
+    "fact_usage_monthly", "fact_unit_economics_monthly", "fact_optimization_monthly",
+    "fact_experiment_current"]
 
-_CACHE: dict[tuple[int, str], Pipeline] = {}
+_CACHE: dict[tuple[int, str, bool], Pipeline] = {}
 
 
-def pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
-    key = (id(spark), sf_dir.rstrip("/"))
+def pipeline(spark: SparkSession, sf_dir: str, materialized: bool = False) -> Pipeline:
+    """Pipeline for one input folder (one per session).  ``materialized``
+    returns a pipeline whose model layers were written once and read back."""
+    key = (id(spark), sf_dir.rstrip("/"), materialized)
     if key not in _CACHE:
-        _CACHE[key] = Pipeline(spark, sf_dir)
+        p = Pipeline(spark, sf_dir)
+        if materialized:
+            p.materialize()
+        _CACHE[key] = p
     return _CACHE[key]

@@ -27,6 +27,7 @@ class Query:
     name: str
     build: Callable[[Pipeline], DataFrame]
     sql: str | None
+    layered: bool = False  # runs on written model layers (wide plans)
 
 
 REGISTRY: dict[str, Query] = {}
@@ -55,7 +56,7 @@ def spec_sql(spec) -> str:
 
 
 def register(name: str, model: str, spec, where: str | None = None, sql_model: str | None = None,
-             spark_filter=None):
+             spark_filter=None, layered: bool = False):
     """Register a projection of a pipeline model."""
     def build(p: Pipeline) -> DataFrame:
         df = getattr(p, model)
@@ -63,11 +64,12 @@ def register(name: str, model: str, spec, where: str | None = None, sql_model: s
             df = df.filter(spark_filter())
         return df.select(*spec_spark(spec))
     sql = f"SELECT {spec_sql(spec)} FROM {sql_model or model}" + (f" WHERE {where}" if where else "")
-    REGISTRY[name] = Query(name, build, compose(sql))
+    REGISTRY[name] = Query(name, build, compose(sql), layered)
 
 
-def register_custom(name: str, build: Callable[[Pipeline], DataFrame], sql: str | None):
-    REGISTRY[name] = Query(name, build, compose(sql) if sql else None)
+def register_custom(name: str, build: Callable[[Pipeline], DataFrame], sql: str | None,
+                    layered: bool = False):
+    REGISTRY[name] = Query(name, build, compose(sql) if sql else None, layered)
 
 
 # ---------------------------------------------------------------------------

@@ -72,9 +72,10 @@ FINANCIAL_RATIONALE_PATTERN = "spend|limit|budget|cost"
 
 # stages expected in the pipeline run log, in run order
 EXPECTED_PIPELINES = [
-    "m6_raw_load", "m7_staging", "m8_reconciliation", "m9_allocation", "m10_telemetry",
-    "m11_token_economics", "m12_application_cost", "m13_optimization",
-    "m14_unit_economics", "m15_experiments",
+    "M6_BIGQUERY_RAW_LAYER", "M7_STAGING_NORMALIZATION_PRICING", "M8_MONTHLY_COST_RECONCILIATION",
+    "M9_DAILY_USAGE_ALLOCATION", "M10_TELEMETRY_RECONCILIATION", "M11_TOKEN_ECONOMICS",
+    "M12_APPLICATION_COST_CHARGEBACK", "M13_OPTIMIZATION_EVALUATION_GATE", "M14_UNIT_ECONOMICS",
+    "M15_EXPERIMENT_GOVERNANCE",
 ]
 
 # reporting calendar
