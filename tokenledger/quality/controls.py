@@ -519,49 +519,60 @@ def catalogue() -> list[Control]:
 # evaluation
 # ---------------------------------------------------------------------------
 
-def _batched_row_rules(p, controls: list[Control]) -> list[DataFrame]:
-    """All single-table count_if controls on the same table in one pass."""
-    by_table: dict[tuple[str, str | None], list[Control]] = {}
-    for ctl in controls:
-        (name, s), = ctl.scalars.items()
-        by_table.setdefault((s.source.name, s.source.where), []).append(ctl)
-    out = []
-    for (table, where), ctls in by_table.items():
-        src = ctls[0].scalars[next(iter(ctls[0].scalars))].source.spark(p)
-        aggs = [F.expr(next(iter(ct.scalars.values())).agg).alias(f"c{i}") for i, ct in enumerate(ctls)]
-        one = src.agg(*aggs)
-        cols = []
-        for i, ct in enumerate(ctls):
-            cols.append(one.select(
-                F.lit(ct.stage).alias("pipeline_name"), F.lit(ct.control_id).alias("control_id"),
-                F.lit(ct.klass).alias("control_class"),
-                F.expr(re.sub(r"\bv\b", f"c{i}", ct.combine)).cast("bigint").alias("violation_count")))
-        out.extend(cols)
-    return out
-
-
-def _is_batchable(ct: Control) -> bool:
-    if ct.klass not in ("row_rule", "must_exist") or len(ct.scalars) != 1:
-        return False
-    s = next(iter(ct.scalars.values()))
-    return type(s.source).__name__ == "Table"
+def _source_key(src):
+    """Scalars over the same source are computed in one aggregate pass:
+    plain tables by (table, filter); HAVING rules by (table, keys, filter)."""
+    kind = type(src).__name__
+    if kind == "Table":
+        return ("T", src.name, src.where)
+    if kind == "Groups":
+        return ("G", src.name, src.keys, src.where)
+    return ("X", id(src))
 
 
 def evaluate(p, controls: list[Control] | None = None) -> DataFrame:
     """One row per control: pipeline_name, control_id, control_class,
-    violation_count, status (PASS iff 0)."""
+    violation_count, status (PASS iff 0).
+
+    Every scalar of every control is grouped by its source; each source is
+    scanned ONCE with all of its aggregates (HAVING rules on the same table
+    and keys become boolean columns of one grouped pass).  The one-row
+    results are cross-joined into a single wide row and unpivoted with
+    ``stack`` into the control rows, so the suite is a handful of scans, not
+    one job per control."""
     controls = controls if controls is not None else catalogue()
-    batch = [ct for ct in controls if _is_batchable(ct)]
-    rest = [ct for ct in controls if not _is_batchable(ct)]
-    parts = _batched_row_rules(p, batch)
-    for ct in rest:
-        parts.append(ct.spark(p).select(F.lit(ct.stage).alias("pipeline_name"),
-                                        F.lit(ct.control_id).alias("control_id"),
-                                        F.lit(ct.klass).alias("control_class"), "violation_count"))
-    df = parts[0]
-    for part in parts[1:]:
-        df = df.unionByName(part)
-    return df.withColumn("status", F.when(F.col("violation_count") == 0, "PASS").otherwise("FAIL"))
+    groups: dict[tuple, list[tuple[str, object]]] = {}
+    renamed: list[str] = []
+    for ci, ct in enumerate(controls):
+        expr = ct.combine
+        for name in sorted(ct.scalars, key=len, reverse=True):
+            col = f"s{ci}_{name}"
+            expr = re.sub(rf"\b{name}\b", col, expr)
+            s = ct.scalars[name]
+            groups.setdefault(_source_key(s.source), []).append((col, s))
+        renamed.append(expr)
+    rows = None
+    for key, items in groups.items():
+        src = items[0][1].source
+        if key[0] == "G":
+            table = getattr(p, src.name)
+            if src.where:
+                table = table.filter(F.expr(src.where))
+            flags = table.groupBy(*src.keys).agg(
+                *[F.expr(s.source.having).alias(f"h_{col}") for col, s in items])
+            one = flags.agg(*[F.count_if(F.col(f"h_{col}")).alias(col) for col, _ in items])
+        elif key[0] == "T":
+            one = src.spark(p).agg(*[F.expr(s.agg).alias(col) for col, s in items])
+        else:
+            col, s = items[0]
+            one = s.source.spark(p).agg(F.expr(s.agg).alias(col))
+        rows = one if rows is None else rows.crossJoin(one)
+    args = []
+    for ct, expr in zip(controls, renamed):
+        args += [f"'{ct.stage}'", f"'{ct.control_id}'", f"'{ct.klass}'", f"CAST({expr} AS BIGINT)"]
+    stacked = rows.select(F.expr(f"stack({len(controls)}, {', '.join(args)})")
+                          .alias("pipeline_name", "control_id", "control_class", "violation_count"))
+    return stacked.withColumn("status", F.when(F.col("violation_count") == 0, "PASS").otherwise("FAIL"))
 
 
 def evaluate_sql(controls: list[Control] | None = None) -> str:
