@@ -67,6 +67,7 @@ def main() -> None:
         "unit": "sec",
         "queries": timings,
         "sf": float(m.group(1)) if m else sf_dir,
+        "layers": p.layer_seconds,
         "cores": cpus,
         "shuffle_partitions": shuffle,
     }

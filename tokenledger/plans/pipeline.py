@@ -213,8 +213,12 @@ class Pipeline:
 
     @cached_property
     def control_results(self) -> DataFrame:
-        from tokenledger.quality.controls import evaluate
-        return evaluate(self)
+        """All controls: the stage controls (evaluated once, also feeding the
+        pipeline status) plus the end-to-end and semantic controls."""
+        from tokenledger.quality.controls import catalogue, evaluate
+        from tokenledger.sources.constants import EXPECTED_PIPELINES
+        rest = [c for c in catalogue() if c.stage not in EXPECTED_PIPELINES]
+        return self.stage_control_results.unionByName(evaluate(self, rest))
 
     @cached_property
     def control_catalog(self) -> DataFrame:
@@ -239,23 +243,35 @@ class Pipeline:
         import uuid
 
         from tokenledger.session import checkpoint_dir
+        import time
         base = base or f"{checkpoint_dir(self.spark).rstrip('/')}/layers-{uuid.uuid4().hex[:12]}"
+        self.layer_seconds = {}
+        # 1:1 staging chains are written once, at their widest model; the
+        # narrower upstream models become projections of that written layer.
+        projected = {parent: {child: getattr(self, child).columns for child in kids}
+                     for parent, kids in ONE_TO_ONE.items()}
         for n in names or LAYER_ORDER:
+            t0 = time.perf_counter()
             path = f"{base}/{n}"
             getattr(self, n).write.mode("overwrite").parquet(path)
             self.__dict__[n] = self.spark.read.parquet(path)
+            for child, cols in projected.get(n, {}).items():
+                self.__dict__[child] = self.__dict__[n].select(*cols)
+            self.layer_seconds[n] = round(time.perf_counter() - t0, 3)
         return base
 
 
 # dependency order of the model layers
 LAYER_ORDER = [
-    "raw_usage", "usage_normalized", "usage_priced", "usage_cost_monthly", "raw_cost", "provider_cost_stg",
-    "raw_telemetry", "telemetry_stg", "cost_reconciliation", "usage_daily", "app_driver_monthly",
+    "usage_priced", "usage_cost_monthly", "raw_cost", "provider_cost_stg", "telemetry_stg", "cost_reconciliation", "usage_daily", "app_driver_monthly",
     "telemetry_recon_daily", "telemetry_coverage_monthly", "token_economics", "application_cost",
     "optimization", "unit_economics", "experiment_driver_daily", "experiment_daily", "experiment_periods",
     "experiments", "dim_date", "dim_provider", "dim_model", "dim_application", "fact_financial_monthly",
     "fact_usage_monthly", "fact_unit_economics_monthly", "fact_optimization_monthly",
-    "fact_experiment_current"]
+    "fact_experiment_current", "stage_control_results", "pipeline_status"]
+
+# models that are 1:1 row-preserving projections of a wider written layer
+ONE_TO_ONE = {"usage_priced": ["raw_usage", "usage_normalized"], "telemetry_stg": ["raw_telemetry"]}
 
 _CACHE: dict[tuple[int, str, bool], Pipeline] = {}
 
