@@ -87,3 +87,22 @@ FROM (
     COUNT(*) FILTER (WHERE is_final_attempt) AS finals, COUNT(DISTINCT final_request_status) AS statuses
   FROM raw_telemetry GROUP BY logical_request_id
 ) per""")
+
+for _table, _measures in R.STAGE_SUMMARIES.items():
+    _measure_query(f"stage_summary_{_table}", _table, _measures, [])
+
+_measure_query("measures_experiments", "experiments", R.EXPERIMENT_MEASURES, ["spending_limit_period"])
+
+register_custom("latest_month_opportunities", lambda p: R.latest_month_opportunities(p.fact_optimization_monthly),
+                f"""
+SELECT optimization_type, recommendation_title, {_M('_s')} AS identified_annualized_savings FROM (
+  SELECT optimization_type, recommendation_title, SUM(identified_annualized_savings) AS _s
+  FROM fact_optimization_monthly
+  WHERE billing_month = (SELECT max(billing_month) FROM fact_optimization_monthly)
+  GROUP BY 1, 2) g WHERE _s > 0""")
+
+register_custom("spend_to_limit_by_experiment", lambda p: p.fact_experiment_current.select(
+    "experiment_id", "spending_limit_period", "evaluation_date", "spend_to_limit_pct", "threshold_status",
+    "governance_action_status"), """
+SELECT experiment_id, spending_limit_period, evaluation_date, spend_to_limit_pct, threshold_status,
+  governance_action_status FROM fact_experiment_current""")
