@@ -108,7 +108,7 @@ def allocate_percent(usage: DataFrame, bridge: DataFrame, measures: list[str],
     for m in measures:
         scaled = F.col(m) * pct
         if m in money_measures:
-            scaled = scaled.cast("decimal(38,13)")  # exact: the split conserves the source amount
+            scaled = scaled.cast("decimal(32,13)")  # exact: the split conserves the source amount
         else:
             scaled = scaled.cast("decimal(28,4)")
         zero = F.lit(0).cast(scaled_type(m in money_measures))
@@ -119,4 +119,4 @@ def allocate_percent(usage: DataFrame, bridge: DataFrame, measures: list[str],
 
 
 def scaled_type(is_money: bool) -> str:
-    return "decimal(38,13)" if is_money else "decimal(28,4)"
+    return "decimal(32,13)" if is_money else "decimal(28,4)"

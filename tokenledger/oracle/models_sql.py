@@ -223,11 +223,11 @@ _ALLOC = [("request_count", "request_count", False),
 
 
 def _scaled(m, is_money):
-    return f"CAST({m} * allocation_percentage AS DECIMAL(38,13))" if is_money else f"CAST({m} * allocation_percentage AS DECIMAL(28,4))"
+    return f"CAST({m} * allocation_percentage AS DECIMAL(32,13))" if is_money else f"CAST({m} * allocation_percentage AS DECIMAL(28,4))"
 
 
 def _zero(is_money):
-    return f"CAST(0 AS {'DECIMAL(38,13)' if is_money else 'DECIMAL(28,4)'})"
+    return f"CAST(0 AS {'DECIMAL(32,13)' if is_money else 'DECIMAL(28,4)'})"
 
 
 CTES["usage_daily"] = f"""

@@ -19,6 +19,12 @@ def _money(e: str) -> str:
     return f"CAST(CAST(ROUND({e}, 6) AS DECIMAL(18,6)) AS DOUBLE)"
 
 
+def _m9(e: str) -> str:
+    """A money sum narrowed to DECIMAL(28,9) so that sums can be combined
+    exactly (two DECIMAL(38,9) operands would lose a digit of scale)."""
+    return f"CAST({e} AS DECIMAL(28,9))"
+
+
 def _div(n: str, d: str) -> str:
     return f"(CASE WHEN CAST({d} AS DOUBLE) <> 0 THEN CAST({n} AS DOUBLE) / CAST({d} AS DOUBLE) END)"
 
@@ -35,10 +41,11 @@ FINANCIAL = {
     "allocation_coverage_pct": _div(f"SUM(CASE WHEN {USAGE} THEN allocated_invoice_billed_cost END)",
                                     f"SUM(CASE WHEN {USAGE} THEN invoice_billed_cost END)"),
     "invoice_vs_estimate_variance": _money(
-        f"SUM(CASE WHEN {USAGE} THEN invoice_billed_cost END) - SUM(usage_cost_estimate)"),
+        _m9(f"SUM(CASE WHEN {USAGE} THEN invoice_billed_cost END)") + " - " + _m9("SUM(usage_cost_estimate)")),
     "usage_to_reported_variance": _money(
-        f"SUM(CASE WHEN {USAGE} THEN provider_reported_cost END) - SUM(CASE WHEN {USAGE} THEN usage_cost_estimate END)"),
-    "reported_to_invoice_variance": _money("SUM(invoice_billed_cost) - SUM(provider_reported_cost)"),
+        _m9(f"SUM(CASE WHEN {USAGE} THEN provider_reported_cost END)") + " - "
+        + _m9(f"SUM(CASE WHEN {USAGE} THEN usage_cost_estimate END)")),
+    "reported_to_invoice_variance": _money(_m9("SUM(invoice_billed_cost)") + " - " + _m9("SUM(provider_reported_cost)")),
     "high_confidence_allocation_pct": _div(
         f"SUM(CASE WHEN {USAGE} AND allocation_confidence = 'high' THEN allocated_invoice_billed_cost END)",
         f"SUM(CASE WHEN {USAGE} THEN allocated_invoice_billed_cost END)"),
@@ -155,10 +162,9 @@ def chargeback_rollup(fin: DataFrame) -> DataFrame:
 def reconciliation_bridge(fin: DataFrame) -> DataFrame:
     """Four ordered stages from estimate to invoice (one row -> stack)."""
     one = fin.agg(
-        F.expr(f"SUM(CASE WHEN {USAGE} THEN usage_cost_estimate END)").alias("est"),
-        F.expr(f"SUM(CASE WHEN {USAGE} THEN provider_reported_cost END)").alias("rep_u"),
-        F.expr("SUM(provider_reported_cost)").alias("rep"),
-        F.expr("SUM(invoice_billed_cost)").alias("inv"))
+        F.expr(_m9(f"SUM(CASE WHEN {USAGE} THEN usage_cost_estimate END)")).alias("est"),
+        F.expr(_m9(f"SUM(CASE WHEN {USAGE} THEN provider_reported_cost END)")).alias("rep_u"),
+        F.expr(_m9("SUM(invoice_billed_cost)")).alias("inv"))
     return one.select(F.expr(
         "stack(4, 1, 'Usage estimate', CAST(est AS DECIMAL(28,9)), 2, 'Usage-to-reported variance', "
         "CAST(rep_u - est AS DECIMAL(28,9)), 3, 'Non-usage and reported-to-invoice', "
@@ -219,8 +225,9 @@ STAGE_SUMMARIES = {
         "restated_rows": "count_if(is_historical_restatement)",
         "allocated_cost": _money("SUM(allocated_usage_cost_estimate)"),
         "unallocated_cost": _money("SUM(unallocated_usage_cost_estimate)"),
-        "unallocated_cost_pct": _div("SUM(unallocated_usage_cost_estimate)",
-                                     "SUM(allocated_usage_cost_estimate) + SUM(unallocated_usage_cost_estimate)"),
+        "unallocated_cost_pct": _div(_m9("SUM(unallocated_usage_cost_estimate)"),
+                                     _m9("SUM(allocated_usage_cost_estimate)") + " + "
+                                     + _m9("SUM(unallocated_usage_cost_estimate)")),
     },
     "telemetry_recon_daily": {
         "daily_rows": "COUNT(*)",
@@ -242,10 +249,11 @@ STAGE_SUMMARIES = {
     "application_cost": {
         "application_cost_rows": "COUNT(*)",
         "restated_rows": "count_if(is_historical_restatement)",
-        "invoice_billed_cost": _money("SUM(allocated_invoice_billed_cost) + SUM(unallocated_invoice_billed_cost)"),
+        "invoice_billed_cost": _money(_m9("SUM(allocated_invoice_billed_cost)") + " + "
+                                      + _m9("SUM(unallocated_invoice_billed_cost)")),
         "unallocated_invoice_cost_pct": _div(
-            "SUM(unallocated_invoice_billed_cost)",
-            "SUM(allocated_invoice_billed_cost) + SUM(unallocated_invoice_billed_cost)"),
+            _m9("SUM(unallocated_invoice_billed_cost)"),
+            _m9("SUM(allocated_invoice_billed_cost)") + " + " + _m9("SUM(unallocated_invoice_billed_cost)")),
     },
     "optimization": {
         "recommendation_rows": "COUNT(*)",

@@ -51,8 +51,9 @@ FROM (
   FROM {FIN} WHERE {U} GROUP BY ROLLUP (department_name, application_name, cost_center)
 ) r, (SELECT SUM(invoice_billed_cost) AS _total FROM {FIN} WHERE {U}) t""")
 
-_B = (f"SELECT SUM(CASE WHEN {U} THEN usage_cost_estimate END) AS est, "
-      f"SUM(CASE WHEN {U} THEN provider_reported_cost END) AS rep_u, SUM(invoice_billed_cost) AS inv FROM {FIN}")
+_B = (f"SELECT CAST(SUM(CASE WHEN {U} THEN usage_cost_estimate END) AS DECIMAL(28,9)) AS est, "
+      f"CAST(SUM(CASE WHEN {U} THEN provider_reported_cost END) AS DECIMAL(28,9)) AS rep_u, "
+      f"CAST(SUM(invoice_billed_cost) AS DECIMAL(28,9)) AS inv FROM {FIN}")
 register_custom("reconciliation_bridge", lambda p: R.reconciliation_bridge(p.fact_financial_monthly), f"""
 SELECT sort_order, stage, {_M('_amt')} AS amount FROM (
   SELECT 1 AS sort_order, 'Usage estimate' AS stage, est AS _amt FROM ({_B}) b
