@@ -6,20 +6,38 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tokenledger.llm.decontam import find_leaks
+from tokenledger.llm.langid import fit_language_model, identify_language
+from tokenledger.llm.lm import lm_scores
 from tokenledger.llm.quality import language_references, quality_rules
-from tokenledger.llm.shared import table
+from tokenledger.llm.shared import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 4) == 2)
+    model = fit_language_model(docs.filter(~F.col("held_out")))
+    return identify_language(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_rules(docs, language_references(docs))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op8_quality_rules,)}
+    return {f.__name__: f for f in (op1_language_id, op5_lm_scoring, op8_quality_rules, op9_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
