@@ -13,6 +13,7 @@ from tokenledger.llm.langid import fit_language_model, identify_language
 from tokenledger.llm.lm import lm_scores
 from tokenledger.llm.quality import language_references, quality_rules
 from tokenledger.llm.shared import fold, table
+from tokenledger.llm.substring import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +24,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = remove_repeats(docs, window=35, join_all=True)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
@@ -37,7 +44,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_language_id, op5_lm_scoring, op8_quality_rules, op9_decontamination)}
+    return {f.__name__: f for f in (op1_language_id, op3_substring_dedup, op5_lm_scoring, op8_quality_rules, op9_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
