@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenledger.llm.decontam import find_leaks
+from tokenledger.llm.jaccard import jaccard_components
 from tokenledger.llm.langid import fit_language_model, identify_language
 from tokenledger.llm.lm import lm_scores
 from tokenledger.llm.quality import language_references, quality_rules
@@ -43,8 +44,12 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), n=5, percent=75)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_language_id, op3_substring_dedup, op5_lm_scoring, op8_quality_rules, op9_decontamination)}
+    return {f.__name__: f for f in (op1_language_id, op3_substring_dedup, op5_lm_scoring, op8_quality_rules, op9_decontamination, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
