@@ -13,9 +13,12 @@ from tokenledger.llm.jaccard import jaccard_components
 from tokenledger.llm.langid import fit_language_model, identify_language
 from tokenledger.llm.lm import lm_scores
 from tokenledger.llm.quality import language_references, quality_rules
+from tokenledger.llm.sentences import load_pieces, sample_segmentations
 from tokenledger.llm.shared import fold, table
 from tokenledger.llm.substring import remove_repeats
 
+SENTENCE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"  # a public vocabulary file, read by the driver
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -35,6 +38,11 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = sample_segmentations(table(spark, sf_dir, "documents"), load_pieces(SENTENCE_MODEL), k=2)
+    return drawn.withColumn("ids_sha256", F.sha2("ids", 256)).drop("ids")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_rules(docs, language_references(docs))
@@ -49,7 +57,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_language_id, op3_substring_dedup, op5_lm_scoring, op8_quality_rules, op9_decontamination, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_language_id, op3_substring_dedup, op5_lm_scoring, op7_sentencepiece, op8_quality_rules, op9_decontamination, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
