@@ -6,7 +6,7 @@ characters) with that n-gram's per-language log frequency.
 
 The model is fitted on a bounded sample of labelled rows (``docs_per_language``, chosen by a
 hash of the row key) and keeps the ``max_words`` / ``max_grams`` most frequent entries, so its
-size is bounded by these parameters.  Prediction covers every row and every whole text.
+size is bounded by these parameters (of the labels, the ``MAX_LANGUAGES`` most frequent are learned).  Prediction covers every row and every whole text.
 
 Words are runs of ASCII letters and non-ASCII characters (lower-cased), without the common
 non-ASCII marks and blanks.  Defined cases: null text or text without any letter gives
@@ -28,6 +28,7 @@ from tokenledger.llm import tokens as tk
 from tokenledger.llm.shared import per_block, sql_type, written
 
 MAX_GRAM = 4
+MAX_LANGUAGES = 256  # the most frequent labels are learned
 UND = "und"
 
 GAP = np.ones(256, bool)
@@ -102,12 +103,15 @@ class LanguageModel:
 
 def _sample(docs: DataFrame, text: str, lang: str, key: str, per_language: int) -> DataFrame:
     """About ``per_language`` labelled rows of each language, by a hash of their key: a fixed
-    rate for each language, so nothing is sorted or gathered."""
+    rate for each language, so nothing is sorted, joined or gathered."""
     labelled = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    rate = labelled.groupBy(lang).count().select(F.col(lang).alias("_lang"), (F.lit(per_language) / F.col("count")).alias("_rate"))
+    sizes = labelled.groupBy(F.col(lang).alias("l")).count().orderBy(F.desc("count"), "l").limit(MAX_LANGUAGES).collect()
+    if not sizes:
+        return labelled.select(F.col(lang).alias("_lang"), F.col(text).alias("_t")).limit(0)
+    rates = F.create_map(*[F.lit(x) for r in sizes for x in (r["l"], min(1.0, per_language / r["count"]))])
     u = F.pmod(F.xxhash64(F.col(key), F.length(text)), F.lit(1_000_000)) / 1_000_000
     return (labelled.select(F.col(lang).alias("_lang"), F.col(text).alias("_t"), u.alias("_u"))
-            .join(rate, "_lang").filter("_u < _rate").select("_lang", "_t"))
+            .filter(F.col("_u") < F.element_at(rates, F.col("_lang"))).select("_lang", "_t"))
 
 
 def fit_language_model(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
