@@ -1,9 +1,10 @@
 """Quality rules by distribution divergence.
 
 A document's character-class histogram and its common-word histogram are compared with the
-reference of its language by Jensen-Shannon distance (base 2, 0..1).  References are the
-summed histograms of ALL documents of a language (plus one over everything, for documents
-without a usable language), so they grow with nothing but the number of languages.
+reference of its language by Jensen-Shannon distance (base 2, 0..1).  A reference is the mean
+relative histogram over ALL documents of a language that pass the base rules with at most 2 %
+symbols (plus one over all languages, for documents without a usable one): each document weighs the same, so one
+long text cannot bend it, and it grows with nothing but the number of languages.
 
 Defined cases: null text counts as empty (no words, ``base_failed``); a null or unlisted
 language uses the overall reference; a histogram without mass has distance 0 (the base rules
@@ -108,6 +109,10 @@ LINE_BYTES = tk.BYTE_ALL.copy()
 LINE_BYTES[10] = 0
 
 
+def base_failed(c: dict[str, np.ndarray]) -> np.ndarray:
+    return (c["n_words"] < 50) | (100 * c["n_repeat_words"] > 50 * c["n_words"])
+
+
 def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Row-wise Jensen-Shannon distance of counts; 0 where either side has no mass."""
     ps, qs = p.sum(axis=1, keepdims=True), q.sum(axis=1, keepdims=True)
@@ -121,15 +126,19 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 def language_references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str | None, np.ndarray]:
-    """Summed histograms by language over all documents; key None: all of them.
-    One row a language and task is shuffled; the driver gets one a language."""
+    """Summed relative histograms (in millionths) by language over all documents that pass the
+    base rules; key None: all of them.  One row a language and block is shuffled; the driver
+    gets one a language."""
     def sums(t: pa.Table) -> pa.Table:
-        chars, words = histograms(*tk.text_block(t.column("_t")))
-        both = np.hstack([chars, words]).astype(np.int64)
+        buf, offs = tk.text_block(t.column("_t"))
+        c = base_counts(buf, offs)
+        good = ~base_failed(c) & (50 * c["n_symbols"] <= c["word_chars"])
+        parts = [x[good] / np.maximum(x[good].sum(axis=1, keepdims=True), 1) for x in histograms(buf, offs)]
+        both = np.rint(1e6 * np.hstack(parts)).astype(np.int64)
         code = t.column("_l").combine_chunks().dictionary_encode(null_encoding="encode")
         if isinstance(code, pa.ChunkedArray):
             code = code.combine_chunks()
-        at, names = code.indices.to_numpy(zero_copy_only=False), code.dictionary.to_pylist()
+        at, names = code.indices.to_numpy(zero_copy_only=False)[good], code.dictionary.to_pylist()
         total = np.zeros((len(names), both.shape[1]), np.int64)
         np.add.at(total, at, both)
         return pa.table({"l": pa.array(names, pa.string()), "n": np.bincount(at, minlength=len(names)),
@@ -150,8 +159,8 @@ def language_references(docs: DataFrame, text: str = "text", lang: str = "lang")
 
 
 def quality_rules(docs: DataFrame, references: dict[str | None, np.ndarray], key: str = "doc_id",
-                  text: str = "text", lang: str = "lang", max_char_distance: float = 0.14,
-                  max_word_distance: float = 0.12, min_chars: int = 200, min_words: int = 100) -> DataFrame:
+                  text: str = "text", lang: str = "lang", max_char_distance: float = 0.12,
+                  max_word_distance: float = 0.08, min_chars: int = 200, min_words: int = 100) -> DataFrame:
     """Per document: the base counts, the two distances and the verdict ``kept``.
 
     The thresholds are widened by ``1 / sqrt(n_words)`` (characters) and ``3 / sqrt(n_words)``
@@ -168,7 +177,7 @@ def quality_rules(docs: DataFrame, references: dict[str | None, np.ndarray], key
         dc = js_distance(chars.astype(float), ref[:, :N_CLASSES])
         dw = js_distance(words.astype(float), ref[:, N_CLASSES:])
         n = c["n_words"]
-        base = (n < 50) | (100 * c["n_repeat_words"] > 50 * n)
+        base = base_failed(c)
         noise = 1 / np.sqrt(np.maximum(n, 1))
         far = (chars.sum(axis=1) >= min_chars) & (dc > max_char_distance + noise)
         far |= (n >= min_words) & (dw > max_word_distance + 3 * noise)
