@@ -23,7 +23,7 @@ RATE = DecimalType(10, 6)
 DISCOUNT = DecimalType(5, 4)
 PCT = DecimalType(5, 4)
 _SUM6 = DecimalType(28, 6)
-_OUT6 = DecimalType(18, 6)
+_OUT6 = DecimalType(38, 6)  # wide enough for any sum of tokens or money
 
 
 def col_(c) -> Column:
@@ -50,11 +50,6 @@ def as_double(expr) -> Column:
     return F.round(col_(expr), 6).cast(_OUT6).cast("double")
 
 
-def out_money(expr) -> Column:
-    """Money column as published by queries: DOUBLE of the value rounded to 6."""
-    return as_double(expr)
-
-
 def ratio(num, den, num_is_money: bool = False, den_is_money: bool = False) -> Column:
     """SAFE_DIVIDE as DOUBLE; NULL on a zero or NULL denominator.
 

@@ -12,12 +12,7 @@ from tokenledger.oracle.feeds_sql import CTES
 
 
 def _load_all() -> None:
-    from tokenledger.oracle import models_sql  # noqa: F401
-    from tokenledger.oracle import marts_sql, semantic_sql  # noqa: F401
-    try:
-        from tokenledger.oracle import quality_sql  # noqa: F401
-    except ImportError:
-        pass
+    from tokenledger.oracle import marts_sql, models_sql, quality_sql, semantic_sql  # noqa: F401
 
 
 def _refs(text: str) -> set[str]:

@@ -19,7 +19,7 @@ def discounted(amount: str, discount: str) -> str:
 
 def dbl(x: str) -> str:
     """Money/decimal -> DOUBLE via an exact 6-decimal value."""
-    return f"CAST(CAST(ROUND({x}, 6) AS DECIMAL(18,6)) AS DOUBLE)"
+    return f"CAST(CAST(ROUND({x}, 6) AS DECIMAL(38,6)) AS DOUBLE)"
 
 
 def ratio(num: str, den: str, num_money: bool = False, den_money: bool = False) -> str:
@@ -33,8 +33,8 @@ def money_times_ratio(amount: str, share: str) -> str:
 
 
 def hash_key(*cols: str) -> str:
-    parts = ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '∅')" for c in cols)
-    return f"sha256(concat_ws('|', {parts}))"
+    parts = " || ".join(f"COALESCE(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in cols)
+    return f"sha256({parts})"
 
 
 def token_cost(uncached, read, w5, w1, out, rin, rcached, r5, r1, rout, disc) -> str:

@@ -169,14 +169,13 @@ def application_invoice_driver_monthly(daily: DataFrame) -> DataFrame:
     def both(n):
         return F.col(f"allocated_{n}") + F.col(f"unallocated_{n}")
     return (daily.withColumn("billing_month", F.trunc("usage_date", "MM"))
-            .groupBy(*DRIVER_KEYS)
+            .groupBy(*DRIVER_KEYS, "billing_currency")
             .agg(F.bool_or("is_historical_restatement").alias("is_historical_restatement"),
                  F.sum(both("request_count")).cast("decimal(28,4)").alias("distributed_request_count"),
                  F.sum(both("total_input_tokens")).cast("decimal(28,4)").alias("distributed_total_input_tokens"),
                  F.sum(both("output_tokens")).cast("decimal(28,4)").alias("distributed_output_tokens"),
                  F.sum(both("reasoning_tokens")).cast("decimal(28,4)").alias("distributed_reasoning_tokens"),
                  money(F.sum(both("usage_cost_estimate"))).alias("driver_usage_cost_estimate"),
-                 F.min("billing_currency").alias("billing_currency"),
                  F.bool_and("is_synthetic").alias("is_synthetic")))
 
 
@@ -185,9 +184,8 @@ DAY_KEYS = ["usage_date", "provider", "provider_project_id", "model"]
 
 def provider_usage_daily(priced: DataFrame) -> DataFrame:
     return (priced.filter(F.col("pricing_status") == "Priced")
-            .groupBy(*DAY_KEYS)
-            .agg(F.min("usage_type").alias("usage_type"),
-                 F.sum("request_count").alias("provider_request_count"),
+            .groupBy(*DAY_KEYS, "usage_type")  # the model decides the usage type
+            .agg(F.sum("request_count").alias("provider_request_count"),
                  F.sum("normalized_total_input_tokens").alias("provider_input_tokens"),
                  F.sum("output_tokens").alias("provider_output_tokens"),
                  F.sum(F.col("normalized_total_input_tokens") + F.col("output_tokens"))
@@ -202,9 +200,8 @@ def telemetry_daily(telemetry: DataFrame, keys=None) -> DataFrame:
     cost = F.col("usage_cost_estimate")
     zero = F.lit(0).cast(MONEY)
     return (telemetry.filter(F.col("telemetry_validation_status") == "Valid")
-            .groupBy(*keys)
-            .agg(F.min("usage_type").alias("usage_type"),
-                 F.count(F.lit(1)).alias("telemetry_attempt_count"),
+            .groupBy(*keys, "usage_type")
+            .agg(F.count(F.lit(1)).alias("telemetry_attempt_count"),
                  F.count_distinct("logical_request_id").alias("telemetry_logical_request_count"),
                  F.count_if("is_final_attempt").alias("telemetry_final_attempt_count"),
                  F.count_if("is_successful_logical_request").alias("telemetry_successful_logical_request_count"),

@@ -138,9 +138,8 @@ def token_economics(priced: DataFrame, rate_card: DataFrame, telemetry: DataFram
     cost = c("usage_cost_estimate")
     tm = (telemetry.filter(c("telemetry_validation_status") == "Valid")
           .withColumn("billing_month", F.trunc("usage_date", "MM"))
-          .groupBy(*M_KEYS)
-          .agg(F.min("usage_type").alias("usage_type"),
-               F.count(F.lit(1)).alias("telemetry_attempt_count"),
+          .groupBy(*M_KEYS, "usage_type")
+          .agg(F.count(F.lit(1)).alias("telemetry_attempt_count"),
                F.count_distinct("logical_request_id").alias("telemetry_logical_request_count"),
                F.count_if("is_successful_logical_request").alias("successful_logical_request_count"),
                F.count_if("is_retry_attempt").alias("retry_attempt_count"),
@@ -202,10 +201,9 @@ def _scope_agg(recon: DataFrame, usage: bool) -> DataFrame:
         aggs.append(money(F.sum("usage_cost_estimate")).alias("source_usage_cost_estimate"))
     aggs += [money(F.sum("provider_reported_cost")).alias("source_provider_reported_cost"),
              money(F.sum("invoice_billed_cost")).alias("source_invoice_billed_cost"),
-             F.min("billing_currency").alias("billing_currency"),
              F.bool_or("is_restatement").alias("is_restatement"),
              F.bool_and("is_synthetic").alias("is_synthetic")]
-    return f.groupBy(*SCOPE).agg(*aggs)
+    return f.groupBy(*SCOPE, "billing_currency").agg(*aggs)
 
 
 APP_COST_COLS = [
@@ -372,7 +370,8 @@ def fmt2(x) -> Column:
 def pct1_of_ratio(num: str, den: str) -> Column:
     """One-decimal percentage text of num/den computed in integers (half up)."""
     n, d = F.col(num), F.col(den)
-    tenths = F.when(d > 0, F.floor((n * 2000 + d) / (2 * d))).otherwise(F.lit(0)).cast("bigint")
+    n, d = n.cast("decimal(28,0)"), d.cast("decimal(20,0)")
+    tenths = F.when(d > 0, F.floor((n * 2000 + d) / (d * 2))).otherwise(F.lit(0)).cast("bigint")
     return F.concat((tenths / 10).cast("bigint").cast("string"), F.lit("."), (tenths % 10).cast("string"))
 
 
@@ -466,12 +465,11 @@ def optimization(token: DataFrame, coverage: DataFrame) -> DataFrame:
 
 def unit_economics(token: DataFrame, recon: DataFrame, coverage: DataFrame) -> DataFrame:
     c = F.col
-    fin = (recon.filter(c("line_item_type") == "usage").groupBy(*M_KEYS)
+    fin = (recon.filter(c("line_item_type") == "usage").groupBy(*M_KEYS, "billing_currency")
            .agg(F.count(F.lit(1)).alias("financial_usage_line_count"),
                 money(F.sum("usage_cost_estimate")).alias("reconciled_usage_cost_estimate"),
                 money(F.sum("provider_reported_cost")).alias("provider_reported_usage_cost"),
                 money(F.sum("invoice_billed_cost")).alias("invoice_billed_usage_cost"),
-                F.min("billing_currency").alias("billing_currency"),
                 F.bool_and("is_synthetic").alias("is_synthetic")))
     t = token.select(*TE_KEYS, "financial_basis", c("request_count").alias("provider_request_count"),
                      "normalized_total_input_tokens", "output_tokens", "reasoning_tokens",
@@ -544,11 +542,10 @@ def experiment_driver_daily(telemetry: DataFrame, recon: DataFrame, coverage: Da
               F.sum(c("normalized_total_input_tokens") + c("output_tokens")).alias("telemetry_total_tokens"),
               money(F.sum(cost)).alias("experiment_driver_cost_estimate"),
               money(F.sum(F.when(c("is_retry_attempt"), cost).otherwise(zero()))).alias("estimated_retry_cost")))
-    i = (recon.filter(c("line_item_type") == "usage").groupBy(*M_KEYS)
+    i = (recon.filter(c("line_item_type") == "usage").groupBy(*M_KEYS, "billing_currency")
          .agg(money(F.sum("usage_cost_estimate")).alias("monthly_usage_cost_estimate"),
               money(F.sum("provider_reported_cost")).alias("monthly_provider_reported_usage_cost"),
-              money(F.sum("invoice_billed_cost")).alias("monthly_invoice_billed_usage_cost"),
-              F.min("billing_currency").alias("billing_currency")))
+              money(F.sum("invoice_billed_cost")).alias("monthly_invoice_billed_usage_cost")))
     cov = coverage.select(*M_KEYS, "telemetry_token_coverage_pct")
     j = _join(_join(e, i, M_KEYS, "inner"), cov, M_KEYS, "left")
     j = j.withColumn("financial_allocation_share",

@@ -16,7 +16,7 @@ USAGE = "line_item_type = 'usage'"
 
 
 def _money(e: str) -> str:
-    return f"CAST(CAST(ROUND({e}, 6) AS DECIMAL(18,6)) AS DOUBLE)"
+    return f"CAST(CAST(ROUND({e}, 6) AS DECIMAL(38,6)) AS DOUBLE)"
 
 
 def _m9(e: str) -> str:

@@ -116,15 +116,14 @@ def fact_financial_monthly(app_cost: DataFrame) -> DataFrame:
         F.coalesce(c("allocated_invoice_billed_cost"), zm).alias("allocated_invoice_billed_cost"),
         F.coalesce(c("unallocated_invoice_billed_cost"), zm).alias("unallocated_invoice_billed_cost"),
         "billing_currency", "financial_basis")
-    a = n.groupBy(*FIN_KEYS).agg(
+    a = n.groupBy(*FIN_KEYS, "billing_currency", "financial_basis").agg(
         F.bool_or("is_historical_restatement").alias("has_historical_restatement"),
         *[F.sum(x).cast("decimal(28,4)").alias(x) for x in ["distributed_request_count",
                                                             "distributed_total_input_tokens",
                                                             "distributed_output_tokens",
                                                             "distributed_reasoning_tokens"]],
         *[money(F.sum(x)).alias(x) for x in ["usage_cost_estimate", "provider_reported_cost", "invoice_billed_cost",
-                                             "allocated_invoice_billed_cost", "unallocated_invoice_billed_cost"]],
-        F.min("billing_currency").alias("billing_currency"), F.min("financial_basis").alias("financial_basis"))
+                                             "allocated_invoice_billed_cost", "unallocated_invoice_billed_cost"]])
     return a.select(hash_key(*FIN_KEYS).alias("financial_monthly_id"), date_key("billing_month").alias("date_key"),
                     provider_key().alias("provider_key"), model_key().alias("model_key"),
                     application_key().alias("application_key"), *a.columns)

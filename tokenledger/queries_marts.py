@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tokenledger.queries import DEC, register
 
 MK = ["billing_month", "provider", "provider_project_id", "model"]
@@ -50,12 +52,10 @@ _APP = ["application_cost_id", "financial_source_scope_id"] + MK + [
 register("application_cost", "application_cost", _APP)
 register("zero_driver_fallback", "application_cost", _APP,
          where="allocation_method = 'no_eligible_driver'",
-         spark_filter=lambda: __import__("pyspark.sql.functions", fromlist=["col"]).col("allocation_method")
-         == "no_eligible_driver")
+         spark_filter=lambda: F.col("allocation_method") == "no_eligible_driver")
 register("scope_retained_lines", "application_cost", _APP,
          where="allocation_status = 'Financial scope retained'",
-         spark_filter=lambda: __import__("pyspark.sql.functions", fromlist=["col"]).col("allocation_status")
-         == "Financial scope retained")
+         spark_filter=lambda: F.col("allocation_status") == "Financial scope retained")
 
 register("optimization_recommendations", "optimization", ["recommendation_id"] + TEK + [
     "optimization_type", "recommendation_title", "recommendation_rationale", ("eligible_cost_base", DEC),

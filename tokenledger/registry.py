@@ -5,9 +5,5 @@ from __future__ import annotations
 
 def all_queries():
     from tokenledger import queries  # noqa: F401  (registers core queries)
-    from tokenledger import queries_marts, queries_reports, queries_semantic  # noqa: F401
-    try:
-        from tokenledger import queries_quality  # noqa: F401
-    except ImportError:
-        pass
+    from tokenledger import queries_marts, queries_quality, queries_reports, queries_semantic  # noqa: F401
     return queries.REGISTRY

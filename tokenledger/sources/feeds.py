@@ -17,9 +17,11 @@ are the only broadcast sides.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tokenledger.functions.numeric import DISCOUNT, MONEY, PCT, RATE
 from tokenledger.operators.lookup import effective_lookup
@@ -368,17 +370,24 @@ DECISION_SCHEMA = T.StructType([
 ])
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A constant table that the planner knows the size of (a local relation)."""
+    columns = list(zip(*rows)) if rows else [() for _ in schema]
+    arrow = to_arrow_schema(schema)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow), schema)
+
+
 def service_tier_map(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(K.SERVICE_TIER_MAP, SERVICE_TIER_SCHEMA)
+    return local_table(spark, K.SERVICE_TIER_MAP, SERVICE_TIER_SCHEMA)
 
 
 def model_map(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(K.MODEL_MAP, MODEL_MAP_SCHEMA)
+    return local_table(spark, K.MODEL_MAP, MODEL_MAP_SCHEMA)
 
 
 def rate_card(spark: SparkSession) -> DataFrame:
     rows = [tuple(r[f.name] for f in RATE_CARD_SCHEMA.fields) for r in K.rate_card_rows()]
-    return spark.createDataFrame(rows, RATE_CARD_SCHEMA)
+    return local_table(spark, rows, RATE_CARD_SCHEMA)
 
 
 def bridge(spark: SparkSession) -> DataFrame:
@@ -386,14 +395,14 @@ def bridge(spark: SparkSession) -> DataFrame:
     for (mid, k, app, dept, cc, pct, start, end, conf, rec) in K.BRIDGE:
         rows.append((mid, "openai" if k % 2 == 0 else "anthropic", f"proj-{k // 2}", f"key-{k}",
                      app, dept, cc, pct, start, end, "active", "mapped", conf, rec, True))
-    return spark.createDataFrame(rows, BRIDGE_SCHEMA)
+    return local_table(spark, rows, BRIDGE_SCHEMA)
 
 
 def experiment_control(spark: SparkSession) -> DataFrame:
     rows = [(e[0], e[1], e[2], e[3], e[4], e[5], e[6], e[7], "USD", e[8], e[9], e[10], e[11],
              e[12], e[13], True) for e in K.EXPERIMENTS]
-    return spark.createDataFrame(rows, EXPERIMENT_SCHEMA)
+    return local_table(spark, rows, EXPERIMENT_SCHEMA)
 
 
 def experiment_decision(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([d + (True,) for d in K.DECISIONS], DECISION_SCHEMA)
+    return local_table(spark, [d + (True,) for d in K.DECISIONS], DECISION_SCHEMA)
