@@ -37,4 +37,6 @@ def compose(select_sql: str) -> str:
     if not ordered:
         return select_sql
     body = ",\n".join(f"{n} AS ({CTES[n]}\n)" for n in ordered)
+    if select_sql.lstrip().upper().startswith("WITH"):
+        select_sql = f"SELECT * FROM (\n{select_sql}\n) q"
     return f"WITH {body}\n{select_sql}"

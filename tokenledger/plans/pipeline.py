@@ -3,8 +3,7 @@
 ``Pipeline(spark, sf_dir)`` reads only the driver tables a model needs
 (column-pruned parquet scans) and exposes each model as a cached property,
 so queries that share a model share one logical plan.  Nothing is
-materialised unless ``persist_shared()`` is called (bench) or a caller
-writes a layer out (``write_layers``).
+written unless ``materialize()`` is called.
 """
 
 from __future__ import annotations
@@ -246,8 +245,9 @@ class Pipeline:
         import time
         base = base or f"{checkpoint_dir(self.spark).rstrip('/')}/layers-{uuid.uuid4().hex[:12]}"
         self.layer_seconds = {}
-        # 1:1 staging chains are written once, at their widest model; the
-        # narrower upstream models become projections of that written layer.
+        # 1:1 staging chains are written once, at their widest model; the narrower
+        # upstream models become projections of that written layer.  The raw feeds
+        # stay as they are derived, so parity controls compare two sources.
         projected = {parent: {child: getattr(self, child).columns for child in kids}
                      for parent, kids in ONE_TO_ONE.items()}
         for n in names or LAYER_ORDER:
@@ -271,15 +271,15 @@ LAYER_ORDER = [
     "fact_experiment_current", "stage_control_results", "pipeline_status"]
 
 # models that are 1:1 row-preserving projections of a wider written layer
-ONE_TO_ONE = {"usage_priced": ["raw_usage", "usage_normalized"], "telemetry_stg": ["raw_telemetry"]}
+ONE_TO_ONE = {"usage_priced": ["usage_normalized"]}
 
-_CACHE: dict[tuple[int, str, bool], Pipeline] = {}
+_CACHE: dict[tuple[str, str, bool], Pipeline] = {}
 
 
 def pipeline(spark: SparkSession, sf_dir: str, materialized: bool = False) -> Pipeline:
     """Pipeline for one input folder (one per session).  ``materialized``
     returns a pipeline whose model layers were written once and read back."""
-    key = (id(spark), sf_dir.rstrip("/"), materialized)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), materialized)
     if key not in _CACHE:
         p = Pipeline(spark, sf_dir)
         if materialized:

@@ -29,6 +29,10 @@ def _div(n: str, d: str) -> str:
     return f"(CASE WHEN CAST({d} AS DOUBLE) <> 0 THEN CAST({n} AS DOUBLE) / CAST({d} AS DOUBLE) END)"
 
 
+_USAGE_EST = f"SUM(CASE WHEN {USAGE} THEN usage_cost_estimate END)"
+_USAGE_REP = f"SUM(CASE WHEN {USAGE} THEN provider_reported_cost END)"
+_USAGE_INV = f"SUM(CASE WHEN {USAGE} THEN invoice_billed_cost END)"
+
 # name -> aggregate SQL text (published as DOUBLE / BIGINT)
 FINANCIAL = {
     "total_invoice_cost": _money("SUM(invoice_billed_cost)"),
@@ -45,6 +49,16 @@ FINANCIAL = {
     "usage_to_reported_variance": _money(
         _m9(f"SUM(CASE WHEN {USAGE} THEN provider_reported_cost END)") + " - "
         + _m9(f"SUM(CASE WHEN {USAGE} THEN usage_cost_estimate END)")),
+    "usage_estimate_usage_lines": _money(_USAGE_EST),
+    "provider_reported_cost_usage_lines": _money(_USAGE_REP),
+    "non_usage_provider_reported_cost": _money(_m9("SUM(provider_reported_cost)") + f" - COALESCE({_m9(_USAGE_REP)}, 0)"),
+    "invoice_vs_estimate_variance_pct": _div(_m9(_USAGE_INV) + " - " + _m9("SUM(usage_cost_estimate)"), "SUM(usage_cost_estimate)"),
+    "usage_to_reported_variance_pct": _div(_m9(_USAGE_REP) + " - " + _m9(_USAGE_EST), f"ABS({_USAGE_EST})"),
+    "reported_to_invoice_variance_pct": _div(_m9("SUM(invoice_billed_cost)") + " - " + _m9("SUM(provider_reported_cost)"),
+                                             "ABS(SUM(provider_reported_cost))"),
+    "unallocated_usage_pct": _div(f"SUM(CASE WHEN {USAGE} THEN unallocated_invoice_billed_cost END)", _USAGE_INV),
+    "applications_requiring_review": "COUNT(DISTINCT CASE WHEN allocation_status = 'Allocated' AND (allocation_confidence = 'medium' "
+                                     "OR has_historical_restatement) THEN application_key END)",
     "reported_to_invoice_variance": _money(_m9("SUM(invoice_billed_cost)") + " - " + _m9("SUM(provider_reported_cost)")),
     "high_confidence_allocation_pct": _div(
         f"SUM(CASE WHEN {USAGE} AND allocation_confidence = 'high' THEN allocated_invoice_billed_cost END)",
@@ -87,7 +101,7 @@ UNIT_MEASURES = {
         "SUM(CASE WHEN measurement_quality_status = 'SUFFICIENT' THEN invoice_billed_usage_cost END)",
         "SUM(CASE WHEN measurement_quality_status = 'SUFFICIENT' THEN successful_logical_request_count END)"),
     "telemetry_token_coverage_pct": _div("SUM(CAST(telemetry_token_coverage_pct * total_tokens AS DECIMAL(38,6)))",
-                                         "SUM(CASE WHEN telemetry_token_coverage_pct IS NOT NULL THEN total_tokens END)"),
+                                         "SUM(total_tokens)"),
     "untraceable_usage_cost": _money("SUM(untraceable_provider_usage_cost_estimate)"),
 }
 
@@ -106,6 +120,12 @@ GOVERNANCE_MEASURES = {
     "control_pass_pct": _div("count_if(status = 'PASS')", "count_if(status IN ('PASS', 'FAIL'))"),
 }
 
+PIPELINE_MEASURES = {
+    "pipelines": "COUNT(*)",
+    "failed_pipelines": "count_if(status <> 'PASS')",
+    "attention_pipelines": "count_if(status <> 'PASS')",
+}
+
 
 def measure(fact: DataFrame, measures: dict[str, str], by: list[str]) -> DataFrame:
     """Evaluate named measures at the grain ``by`` (one aggregate pass)."""
@@ -125,10 +145,11 @@ def measure_sql(table: str, measures: dict[str, str], by: list[str]) -> str:
 # ---------------------------------------------------------------------------
 
 def top_applications(fin: DataFrame, n: int = 5) -> DataFrame:
-    """Top-n applications by usage invoice cost (ties by name)."""
-    g = measure(fin.filter(USAGE), {"usage_invoice_cost": _money("SUM(invoice_billed_cost)")},
+    """Top-n applications by invoice cost over all lines (ties by name), with
+    their usage invoice cost."""
+    g = measure(fin, {"total_invoice_cost": _money("SUM(invoice_billed_cost)"), "usage_invoice_cost": _money(_USAGE_INV)},
                 ["application_name"])
-    order = [F.col("usage_invoice_cost").desc(), F.col("application_name")]
+    order = [F.col("total_invoice_cost").desc(), F.col("application_name")]
     top = g.orderBy(*order).limit(n)  # top-k per partition, then a final k-row merge
     return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
@@ -152,23 +173,25 @@ def chargeback_rollup(fin: DataFrame) -> DataFrame:
     r = (u.rollup("department_name", "application_name", "cost_center")
          .agg(F.expr("SUM(invoice_billed_cost)").alias("_cost"),
               F.grouping_id().alias("grouping_level")))
-    total = u.agg(F.expr("SUM(invoice_billed_cost)").alias("_total"))
-    return r.crossJoin(total).select(
+    total = r.filter("grouping_level = 7").select(F.col("_cost").alias("_total"), F.lit(1).alias("_one"))
+    return r.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one").select(  # one row
         "department_name", "application_name", "cost_center", "grouping_level",
         F.expr(_money("_cost")).alias("usage_invoice_cost"),
         F.expr(_div("_cost", "_total")).alias("share_of_total"))
 
 
 def reconciliation_bridge(fin: DataFrame) -> DataFrame:
-    """Four ordered stages from estimate to invoice (one row -> stack)."""
+    """Four ordered amounts that lead from the usage estimate to the invoice
+    (they add up to the invoice total); one row -> stack."""
     one = fin.agg(
         F.expr(_m9(f"SUM(CASE WHEN {USAGE} THEN usage_cost_estimate END)")).alias("est"),
         F.expr(_m9(f"SUM(CASE WHEN {USAGE} THEN provider_reported_cost END)")).alias("rep_u"),
+        F.expr(_m9("SUM(provider_reported_cost)")).alias("rep"),
         F.expr(_m9("SUM(invoice_billed_cost)")).alias("inv"))
     return one.select(F.expr(
-        "stack(4, 1, 'Usage estimate', CAST(est AS DECIMAL(28,9)), 2, 'Usage-to-reported variance', "
-        "CAST(rep_u - est AS DECIMAL(28,9)), 3, 'Non-usage and reported-to-invoice', "
-        "CAST(inv - rep_u AS DECIMAL(28,9)), 4, 'Invoice billed', CAST(inv AS DECIMAL(28,9)))"
+        "stack(4, 1, 'Usage Estimate', CAST(est AS DECIMAL(28,9)), 2, 'Usage → Reported Variance', "
+        "CAST(rep_u - est AS DECIMAL(28,9)), 3, 'Non-Usage Reported Cost', "
+        "CAST(rep - rep_u AS DECIMAL(28,9)), 4, 'Reported → Invoice Variance', CAST(inv - rep AS DECIMAL(28,9)))"
     ).alias("sort_order", "stage", "_amt")).select("sort_order", "stage", F.expr(_money("_amt")).alias("amount"))
 
 
@@ -198,11 +221,11 @@ def attempt_sequence_check(telemetry: DataFrame) -> DataFrame:
     per = telemetry.groupBy("logical_request_id").agg(
         F.min("attempt_number").alias("mn"), F.max("attempt_number").alias("mx"),
         F.count(F.lit(1)).alias("n"), F.count_if("is_final_attempt").alias("finals"),
-        F.count_distinct("final_request_status").alias("statuses"))
+        F.max(F.xxhash64("final_request_status")).alias("high"), F.min(F.xxhash64("final_request_status")).alias("low"))
     return per.agg(F.count(F.lit(1)).alias("logical_requests"),
                    F.count_if((F.col("mn") != 1) | (F.col("mx") != F.col("n"))).alias("numbering_violations"),
                    F.count_if(F.col("finals") != 1).alias("final_attempt_violations"),
-                   F.count_if(F.col("statuses") != 1).alias("final_status_violations"))
+                   F.count_if(F.col("high") != F.col("low")).alias("final_status_violations"))
 
 
 # ---------------------------------------------------------------------------
@@ -222,16 +245,22 @@ STAGE_SUMMARIES = {
     "usage_daily": {
         "allocation_rows": "COUNT(*)",
         "source_rows": "count_if(source_measure_anchor_flag)",
+        "allocated_rows": "count_if(allocation_status = 'Allocated')",
+        "unallocated_rows": "count_if(allocation_status = 'Unallocated')",
+        "source_cost": _money("SUM(source_usage_cost_estimate)"),
         "restated_rows": "count_if(is_historical_restatement)",
         "allocated_cost": _money("SUM(allocated_usage_cost_estimate)"),
         "unallocated_cost": _money("SUM(unallocated_usage_cost_estimate)"),
         "unallocated_cost_pct": _div(_m9("SUM(unallocated_usage_cost_estimate)"),
-                                     _m9("SUM(allocated_usage_cost_estimate)") + " + "
-                                     + _m9("SUM(unallocated_usage_cost_estimate)")),
+                                     _m9("SUM(source_usage_cost_estimate)")),
     },
     "telemetry_recon_daily": {
         "daily_rows": "COUNT(*)",
         "exception_days": "count_if(reconciliation_status = 'EXCEPTION')",
+        "provider_request_count": "SUM(provider_request_count)",
+        "telemetry_attempt_count": "SUM(telemetry_attempt_count)",
+        "telemetry_logical_request_count": "SUM(telemetry_logical_request_count)",
+        "telemetry_retry_attempt_count": "SUM(telemetry_retry_attempt_count)",
         "provider_total_tokens": "SUM(provider_total_tokens)",
         "telemetry_total_tokens": "SUM(telemetry_total_tokens)",
         "overall_token_coverage_pct": _div("SUM(telemetry_total_tokens)", "SUM(provider_total_tokens)"),
@@ -239,6 +268,10 @@ STAGE_SUMMARIES = {
     },
     "token_economics": {
         "token_rows": "COUNT(*)",
+        "request_count": "SUM(request_count)",
+        "usage_cost_estimate": _money("SUM(usage_cost_estimate)"),
+        "estimated_retry_cost": _money("SUM(estimated_retry_cost)"),
+        "estimated_failed_attempt_cost": _money("SUM(estimated_failed_attempt_cost)"),
         "total_tokens": "SUM(total_tokens)",
         "cache_read_share": _div("SUM(normalized_cache_read_tokens)", "SUM(normalized_total_input_tokens)"),
         "reasoning_overhead_pct": _div("SUM(reasoning_tokens)", "SUM(output_tokens)"),
@@ -251,20 +284,39 @@ STAGE_SUMMARIES = {
         "restated_rows": "count_if(is_historical_restatement)",
         "invoice_billed_cost": _money(_m9("SUM(allocated_invoice_billed_cost)") + " + "
                                       + _m9("SUM(unallocated_invoice_billed_cost)")),
-        "unallocated_invoice_cost_pct": _div(
-            _m9("SUM(unallocated_invoice_billed_cost)"),
-            _m9("SUM(allocated_invoice_billed_cost)") + " + " + _m9("SUM(unallocated_invoice_billed_cost)")),
+        "financial_source_scopes": "COUNT(DISTINCT financial_source_scope_id)",
+        "source_invoice_billed_cost": _money("SUM(source_invoice_billed_cost)"),
+        "allocated_invoice_billed_cost": _money("SUM(allocated_invoice_billed_cost)"),
+        "unallocated_invoice_billed_cost": _money("SUM(unallocated_invoice_billed_cost)"),
+        "unallocated_usage_invoice_cost": _money(f"SUM(CASE WHEN {USAGE} THEN unallocated_invoice_billed_cost ELSE 0 END)"),
+        "scope_retained_non_usage_cost": _money(f"SUM(CASE WHEN {USAGE} THEN 0 ELSE unallocated_invoice_billed_cost END)"),
+        "unallocated_usage_invoice_pct": _div(f"SUM(CASE WHEN {USAGE} THEN unallocated_invoice_billed_cost ELSE 0 END)",
+                                              f"SUM(CASE WHEN {USAGE} THEN source_invoice_billed_cost ELSE 0 END)"),
+        "medium_confidence_rows": "count_if(allocation_confidence = 'medium')",
     },
     "optimization": {
         "recommendation_rows": "COUNT(*)",
         "ready_rows": "count_if(evaluation_gate_status = 'READY_FOR_EVALUATION')",
         "hold_rows": "count_if(evaluation_gate_status = 'HOLD_FOR_DATA')",
         "benchmark_rows": "count_if(evaluation_gate_status = 'REQUIRES_BENCHMARK')",
+        "identified_monthly_savings": _money("SUM(modeled_monthly_savings)"),
         "identified_annualized_savings": _money("SUM(identified_annualized_savings)"),
+        "approved_annualized_savings": _money("SUM(approved_annualized_savings)"),
+        "implemented_annualized_savings": _money("SUM(implemented_annualized_savings)"),
+        "realized_savings": _money("SUM(realized_savings)"),
+        "cost_at_risk": _money("SUM(cost_at_risk)"),
     },
     "unit_economics": {
         "unit_rows": "COUNT(*)",
         "sufficient_rows": "count_if(measurement_quality_status = 'SUFFICIENT')",
+        "insufficient_rows": "count_if(measurement_quality_status = 'INSUFFICIENT')",
+        "provider_request_count": "SUM(provider_request_count)",
+        "telemetry_logical_request_count": "SUM(telemetry_logical_request_count)",
+        "successful_logical_request_count": "SUM(successful_logical_request_count)",
+        "invoice_billed_usage_cost": _money("SUM(invoice_billed_usage_cost)"),
+        "estimated_retry_cost": _money("SUM(estimated_retry_cost)"),
+        "estimated_failed_attempt_cost": _money("SUM(estimated_failed_attempt_cost)"),
+        "untraceable_cost": _money("SUM(untraceable_provider_usage_cost_estimate)"),
         "portfolio_invoice_cost_per_million_tokens": _div(
             "CAST(SUM(invoice_billed_usage_cost) AS DOUBLE) * 1000000", "SUM(total_tokens)"),
         "portfolio_invoice_cost_per_provider_request": _div("SUM(invoice_billed_usage_cost)",
@@ -272,6 +324,10 @@ STAGE_SUMMARIES = {
     },
     "experiments": {
         "evaluation_rows": "COUNT(*)",
+        "experiment_count": "COUNT(DISTINCT experiment_id)",
+        "hard_stop_action_required_rows": "count_if(governance_action_status = 'HARD_STOP_ACTION_REQUIRED')",
+        "financial_evidence_mismatch_rows": "count_if(decision_financial_evidence_status = 'FINANCIAL_EVIDENCE_MISMATCH')",
+        "limited_measurement_rows": "count_if(period_measurement_quality_status = 'LIMITED')",
         "hard_stop_rows": "count_if(threshold_status = 'HARD_STOP')",
         "warning_rows": "count_if(threshold_status = 'WARNING')",
         "exception_rows": "count_if(governance_exception_status = 'EXCEPTION')",
@@ -289,6 +345,8 @@ EXPERIMENT_MEASURES = {
                                     "THEN experiment_id END)",
     "experiment_governance_exceptions": "COUNT(DISTINCT CASE WHEN governance_exception_status = 'EXCEPTION' "
                                         "THEN experiment_id END)",
+    "experiments_within_guardrail_pct": _div(
+        "COUNT(DISTINCT CASE WHEN threshold_status = 'WITHIN_LIMIT' THEN experiment_id END)", "COUNT(DISTINCT experiment_id)"),
     "current_experiment_spend": _money("SUM(period_invoice_billed_experiment_cost)"),
     "experiment_spend_to_limit_pct": "MAX(spend_to_limit_pct)",
 }
@@ -302,3 +360,13 @@ def latest_month_opportunities(opt: DataFrame) -> DataFrame:
     g = measure(cur, {"_s": "SUM(identified_annualized_savings)"}, ["optimization_type", "recommendation_title"])
     return g.filter("_s > 0").select("optimization_type", "recommendation_title",
                                      F.expr(_money("_s")).alias("identified_annualized_savings"))
+
+
+def recommendation_table(opt: DataFrame) -> DataFrame:
+    """Quantified recommendations with the number of provider and model scopes
+    (actions) that each title covers."""
+    g = opt.groupBy("recommendation_title", "optimization_type", "provider", "model").agg(
+        F.expr("SUM(identified_annualized_savings)").alias("_s"), F.count(F.lit(1)).alias("_n")).filter("_s > 0")
+    return g.groupBy("recommendation_title", "optimization_type").agg(
+        F.count(F.lit(1)).alias("quantified_actions"), F.sum("_n").alias("recommendations"),
+        F.expr(_money("SUM(_s)")).alias("identified_annualized_savings"))

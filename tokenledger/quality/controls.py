@@ -199,6 +199,7 @@ def catalogue() -> list[Control]:
                  "reconciliation_status = 'EXCEPTION' AND variance_reason_code IS NULL"),
         total_parity(M10, "monthly_summary_reconciles_to_daily", [
             (_sum("telemetry_coverage_monthly", "provider_usage_cost_estimate"), _sum(tr, "provider_usage_cost_estimate")),
+            (_sum("telemetry_coverage_monthly", "telemetry_attempt_count"), _sum(tr, "telemetry_attempt_count")),
         ], TOL6),
     ]
     # ---- M11 token economics --------------------------------------------------
@@ -460,11 +461,9 @@ def catalogue() -> list[Control]:
                     "unallocated_usage_cost_estimate", stage=M16),
         total_parity(M16, "E2E-12", [(_sum(tr, "provider_usage_cost_estimate"),
                                       _sum("usage_priced", "usage_cost_estimate", PRICED))], TOL6),
-        composite(M16, "E2E-13", [
-            total_parity(M16, "-", [(_sum(te, "usage_cost_estimate"), _sum("usage_priced", "usage_cost_estimate", PRICED))],
-                         TOL6),
-            total_parity(M16, "-", [(_sum(te, "total_tokens"),
-                                     _sum("usage_priced", "normalized_total_input_tokens + output_tokens", PRICED))])]),
+        total_parity(M16, "E2E-13", [  # one verdict, 0 or 1
+            (_sum(te, "usage_cost_estimate"), _sum("usage_priced", "usage_cost_estimate", PRICED)),
+            (_sum(te, "total_tokens"), _sum("usage_priced", "normalized_total_input_tokens + output_tokens", PRICED))], TOL6),
         _scope_rule("E2E-14", "source_invoice_billed_cost", "allocated_invoice_billed_cost",
                     "unallocated_invoice_billed_cost", stage=M16),
         row_rule(M16, "E2E-15", op,
@@ -508,9 +507,9 @@ def catalogue() -> list[Control]:
         unique_grain(M17, "experiment_current_has_one_row_per_experiment", "fact_experiment_current",
                      ["experiment_key"]),
         composite(M17, "all_fact_provider_keys_resolve",
-                  [no_orphans(M17, "-", f, "dim_provider", ["provider_key"]) for f in facts]),
+                  [no_orphans(M17, "-", f, "dim_provider", ["provider_key"], rows=True) for f in facts]),
         composite(M17, "all_fact_model_keys_resolve",
-                  [no_orphans(M17, "-", f, "dim_model", ["model_key"]) for f in facts]),
+                  [no_orphans(M17, "-", f, "dim_model", ["model_key"], rows=True) for f in facts]),
     ]
     return c
 
@@ -519,12 +518,12 @@ def catalogue() -> list[Control]:
 # evaluation
 # ---------------------------------------------------------------------------
 
-def _source_key(src):
+def _source_key(src, agg):
     """Scalars over the same source are computed in one aggregate pass:
     plain tables by (table, filter); HAVING rules by (table, keys, filter)."""
     kind = type(src).__name__
     if kind == "Table":
-        return ("T", src.name, src.where)
+        return ("T", src.name, src.where, "DISTINCT" in agg and agg)
     if kind == "Groups":
         return ("G", src.name, src.keys, src.where)
     return ("X", id(src))
@@ -536,10 +535,11 @@ def evaluate(p, controls: list[Control] | None = None) -> DataFrame:
 
     Every scalar of every control is grouped by its source; each source is
     scanned ONCE with all of its aggregates (HAVING rules on the same table
-    and keys become boolean columns of one grouped pass).  The one-row
-    results are cross-joined into a single wide row and unpivoted with
-    ``stack`` into the control rows, so the suite is a handful of scans, not
-    one job per control."""
+    and keys become boolean columns of one grouped pass).  Each source yields
+    (scalar, value) rows; one grouping by control then applies its formula, so
+    the suite is a union of scans without a cross join.  Distinct counts are
+    kept apart from the row rules of their table, which then need no shuffle
+    of rows."""
     controls = controls if controls is not None else catalogue()
     groups: dict[tuple, list[tuple[str, object]]] = {}
     renamed: list[str] = []
@@ -549,9 +549,9 @@ def evaluate(p, controls: list[Control] | None = None) -> DataFrame:
             col = f"s{ci}_{name}"
             expr = re.sub(rf"\b{name}\b", col, expr)
             s = ct.scalars[name]
-            groups.setdefault(_source_key(s.source), []).append((col, s))
+            groups.setdefault(_source_key(s.source, s.agg), []).append((col, s))
         renamed.append(expr)
-    rows = None
+    measured = None
     for key, items in groups.items():
         src = items[0][1].source
         if key[0] == "G":
@@ -561,18 +561,28 @@ def evaluate(p, controls: list[Control] | None = None) -> DataFrame:
             flags = table.groupBy(*src.keys).agg(
                 *[F.expr(s.source.having).alias(f"h_{col}") for col, s in items])
             one = flags.agg(*[F.count_if(F.col(f"h_{col}")).alias(col) for col, _ in items])
-        elif key[0] == "T":
-            one = src.spark(p).agg(*[F.expr(s.agg).alias(col) for col, s in items])
         else:
-            col, s = items[0]
-            one = s.source.spark(p).agg(F.expr(s.agg).alias(col))
-        rows = one if rows is None else rows.crossJoin(one)
-    args = []
-    for ct, expr in zip(controls, renamed):
-        args += [f"'{ct.stage}'", f"'{ct.control_id}'", f"'{ct.klass}'", f"CAST({expr} AS BIGINT)"]
-    stacked = rows.select(F.expr(f"stack({len(controls)}, {', '.join(args)})")
-                          .alias("pipeline_name", "control_id", "control_class", "violation_count"))
-    return stacked.withColumn("status", F.when(F.col("violation_count") == 0, "PASS").otherwise("FAIL"))
+            one = src.spark(p).agg(*[F.expr(s.agg).alias(col) for col, s in items])
+        cells = ", ".join(f"'{col}', CAST({col} AS DECIMAL(38,9))" for col, _ in items)
+        part = one.select(F.expr(f"stack({len(items)}, {cells})").alias("scalar", "value"))
+        measured = part if measured is None else measured.unionByName(part)
+
+    # one row a control: its own scalars side by side, then its formula
+    owner = p.spark.createDataFrame(
+        [(f"s{ci}_{name}", ci) for ci, ct in enumerate(controls) for name in ct.scalars], "scalar string, control int")
+    values = measured.join(F.broadcast(owner), "scalar").groupBy("control").agg(
+        F.map_from_entries(F.collect_list(F.struct("scalar", "value"))).alias("v"))  # a few scalars each
+    formulas = []
+    for ci, (ct, expr) in enumerate(zip(controls, renamed)):
+        for name in sorted(ct.scalars, key=len, reverse=True):
+            expr = re.sub(rf"\bs{ci}_{name}\b", f"v['s{ci}_{name}']", expr)
+        formulas.append((ci, ct, expr))
+    cases = " ".join(f"WHEN {ci} THEN CAST({expr} AS BIGINT)" for ci, _, expr in formulas)
+    names = p.spark.createDataFrame([(ci, ct.stage, ct.control_id, ct.klass) for ci, ct, _ in formulas],
+                                    "control int, pipeline_name string, control_id string, control_class string")
+    out = names.join(values, "control").select(
+        "pipeline_name", "control_id", "control_class", F.expr(f"CASE control {cases} END").alias("violation_count"))
+    return out.withColumn("status", F.when(F.col("violation_count") == 0, "PASS").otherwise("FAIL"))
 
 
 def evaluate_sql(controls: list[Control] | None = None) -> str:

@@ -57,15 +57,18 @@ class Groups:
 
 @dataclass(frozen=True)
 class Missing:
-    """Distinct ``keys`` of ``a`` with no row in ``b`` (left anti join)."""
+    """``keys`` of ``a`` with no row in ``b`` (left anti join): distinct, or every
+    row with ``rows``."""
     a: str
     b: str
     keys: tuple[str, ...]
     where_a: str | None = None
     where_b: str | None = None
+    rows: bool = False
 
     def spark(self, p) -> DataFrame:
-        da = Table(self.a, self.where_a).spark(p).select(*self.keys).distinct()
+        da = Table(self.a, self.where_a).spark(p).select(*self.keys)
+        da = da if self.rows else da.distinct()
         db = Table(self.b, self.where_b).spark(p).select(*self.keys).distinct()
         return da.join(db, list(self.keys), "left_anti")
 
@@ -74,7 +77,7 @@ class Missing:
         wb = f" WHERE {self.where_b}" if self.where_b else ""
         k = ", ".join(self.keys)
         cond = " AND ".join(f"x.{c} = y.{c}" for c in self.keys)
-        return (f"(SELECT DISTINCT {k} FROM {self.a}{wa}) x WHERE NOT EXISTS "
+        return (f"(SELECT {'' if self.rows else 'DISTINCT '}{k} FROM {self.a}{wa}) x WHERE NOT EXISTS "
                 f"(SELECT 1 FROM (SELECT DISTINCT {k} FROM {self.b}{wb}) y WHERE {cond})")
 
 
@@ -115,13 +118,6 @@ class Control:
     combine: str  # SQL expression over scalar names -> violation count
     tables: tuple[str, ...] = field(default_factory=tuple)
 
-    def spark(self, p) -> DataFrame:
-        out = None
-        for name, s in self.scalars.items():
-            one = s.source.spark(p).agg(F.expr(s.agg).alias(name))
-            out = one if out is None else out.crossJoin(one)
-        return out.select(F.expr(self.combine).cast("bigint").alias("violation_count"))
-
     def sql(self) -> str:
         parts = []
         for name, s in self.scalars.items():
@@ -174,9 +170,9 @@ def group_rule(stage, cid, table, keys, having, where=None):
                    "v", (table,))
 
 
-def no_orphans(stage, cid, a, b, keys, where_a=None, where_b=None):
-    """F: keys of a without a match in b."""
-    return Control(stage, cid, "anti_join", {"v": Scalar(Missing(a, b, tuple(keys), where_a, where_b), "COUNT(*)")},
+def no_orphans(stage, cid, a, b, keys, where_a=None, where_b=None, rows=False):
+    """F: keys (or rows) of a without a match in b."""
+    return Control(stage, cid, "anti_join", {"v": Scalar(Missing(a, b, tuple(keys), where_a, where_b, rows), "COUNT(*)")},
                    "v", (a, b))
 
 

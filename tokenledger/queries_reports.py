@@ -25,11 +25,14 @@ _D = R._div
 U = R.USAGE
 
 register_custom("top5_applications", lambda p: R.top_applications(p.fact_financial_monthly), f"""
-SELECT application_name, usage_invoice_cost,
-  ROW_NUMBER() OVER (ORDER BY usage_invoice_cost DESC, application_name) AS rank
-FROM (SELECT application_name, {_M('SUM(invoice_billed_cost)')} AS usage_invoice_cost
-      FROM {FIN} WHERE {U} GROUP BY application_name) g
-ORDER BY usage_invoice_cost DESC, application_name LIMIT 5""")
+WITH spend AS (
+  SELECT application_name, round(sum(invoice_billed_cost), 6) AS every_line,
+    round(sum(invoice_billed_cost) FILTER (WHERE line_item_type = 'usage'), 6) AS usage_lines
+  FROM {FIN} GROUP BY application_name)
+SELECT application_name, CAST(every_line AS DOUBLE) AS total_invoice_cost, CAST(usage_lines AS DOUBLE) AS usage_invoice_cost,
+  (SELECT count(*) + 1 FROM spend o WHERE o.every_line > s.every_line
+     OR (o.every_line = s.every_line AND o.application_name < s.application_name)) AS rank
+FROM spend s QUALIFY row_number() OVER (ORDER BY every_line DESC, application_name) <= 5""")
 
 register_custom("mom_invoice", lambda p: R.mom_invoice(p.fact_financial_monthly), f"""
 SELECT billing_month, invoice_cost, previous_month_invoice_cost,
@@ -51,16 +54,16 @@ FROM (
   FROM {FIN} WHERE {U} GROUP BY ROLLUP (department_name, application_name, cost_center)
 ) r, (SELECT SUM(invoice_billed_cost) AS _total FROM {FIN} WHERE {U}) t""")
 
-_B = (f"SELECT CAST(SUM(CASE WHEN {U} THEN usage_cost_estimate END) AS DECIMAL(28,9)) AS est, "
-      f"CAST(SUM(CASE WHEN {U} THEN provider_reported_cost END) AS DECIMAL(28,9)) AS rep_u, "
-      f"CAST(SUM(invoice_billed_cost) AS DECIMAL(28,9)) AS inv FROM {FIN}")
 register_custom("reconciliation_bridge", lambda p: R.reconciliation_bridge(p.fact_financial_monthly), f"""
-SELECT sort_order, stage, {_M('_amt')} AS amount FROM (
-  SELECT 1 AS sort_order, 'Usage estimate' AS stage, est AS _amt FROM ({_B}) b
-  UNION ALL SELECT 2, 'Usage-to-reported variance', rep_u - est FROM ({_B}) b
-  UNION ALL SELECT 3, 'Non-usage and reported-to-invoice', inv - rep_u FROM ({_B}) b
-  UNION ALL SELECT 4, 'Invoice billed', inv FROM ({_B}) b
-) s""")
+WITH sums AS (
+  SELECT sum(usage_cost_estimate) FILTER (WHERE line_item_type = 'usage') AS estimate,
+    sum(provider_reported_cost) FILTER (WHERE line_item_type = 'usage') AS reported_usage,
+    sum(provider_reported_cost) FILTER (WHERE line_item_type <> 'usage') AS reported_other,
+    sum(invoice_billed_cost) AS invoiced
+  FROM {FIN})
+SELECT k AS sort_order, ['Usage Estimate', 'Usage → Reported Variance', 'Non-Usage Reported Cost', 'Reported → Invoice Variance'][k] AS stage,
+  CAST(round([estimate, reported_usage - estimate, reported_other, invoiced - reported_usage - reported_other][k], 6) AS DOUBLE) AS amount
+FROM sums, (SELECT unnest([1, 2, 3, 4]) AS k) n""")
 
 register_custom("cost_per_million_by_model",
                 lambda p: R.cost_per_million_by_model(p.fact_financial_monthly, p.fact_usage_monthly), f"""
@@ -92,7 +95,33 @@ FROM (
 for _table, _measures in R.STAGE_SUMMARIES.items():
     _measure_query(f"stage_summary_{_table}", _table, _measures, [])
 
-_measure_query("measures_experiments", "experiments", R.EXPERIMENT_MEASURES, ["spending_limit_period"])
+_EXPERIMENT_SQL = """SELECT {by} count(*) AS current_experiments,
+  sum(CASE threshold_status WHEN 'WITHIN_LIMIT' THEN 1 ELSE 0 END) AS experiments_within_limit,
+  sum(CASE threshold_status WHEN 'WARNING' THEN 1 ELSE 0 END) AS experiments_at_warning,
+  sum(CASE threshold_status WHEN 'HARD_STOP' THEN 1 ELSE 0 END) AS experiments_at_hard_stop,
+  sum(CASE WHEN threshold_status IN ('WARNING', 'HARD_STOP') THEN 1 ELSE 0 END) AS experiments_requiring_action,
+  sum(CASE governance_exception_status WHEN 'EXCEPTION' THEN 1 ELSE 0 END) AS experiment_governance_exceptions,
+  avg(CASE threshold_status WHEN 'WITHIN_LIMIT' THEN 1.0 ELSE 0.0 END) AS experiments_within_guardrail_pct,
+  CAST(round(sum(period_invoice_billed_experiment_cost), 6) AS DOUBLE) AS current_experiment_spend,
+  max(spend_to_limit_pct) AS experiment_spend_to_limit_pct
+FROM fact_experiment_current {group}"""
+for _name, _by in (("measures_experiments", ["spending_limit_period"]), ("measures_experiments_by_id", ["experiment_id"]),
+                   ("measures_experiments_overall", [])):
+    register_custom(_name, lambda p, by=_by: R.measure(p.fact_experiment_current, R.EXPERIMENT_MEASURES, by),
+                    _EXPERIMENT_SQL.format(by="".join(f"{x}, " for x in _by), group="GROUP BY " + ", ".join(_by) if _by else ""))
+
+_measure_query("measures_financial_by_month", FIN, R.FINANCIAL, ["billing_month"])
+_measure_query("measures_usage_by_month", USE, R.USAGE_MEASURES, ["billing_month"])
+_measure_query("measures_pipelines", "pipeline_status", R.PIPELINE_MEASURES, [], layered=True)
+register_custom("invoice_by_provider", lambda p: R.measure(
+    p.fact_financial_monthly, {"total_invoice_cost": R._money("SUM(invoice_billed_cost)")}, ["provider"]), f"""
+SELECT provider, CAST(round(sum(invoice_billed_cost), 6) AS DOUBLE) AS total_invoice_cost FROM {FIN} GROUP BY ALL""")
+register_custom("recommendation_table", lambda p: R.recommendation_table(p.fact_optimization_monthly), """
+WITH scoped AS (
+  SELECT recommendation_title, optimization_type, provider, model, sum(identified_annualized_savings) AS saved, count(*) AS n
+  FROM fact_optimization_monthly GROUP BY ALL HAVING sum(identified_annualized_savings) > 0)
+SELECT recommendation_title, optimization_type, count(*) AS quantified_actions, CAST(sum(n) AS BIGINT) AS recommendations,
+  CAST(round(sum(saved), 6) AS DOUBLE) AS identified_annualized_savings FROM scoped GROUP BY ALL""")
 
 register_custom("latest_month_opportunities", lambda p: R.latest_month_opportunities(p.fact_optimization_monthly),
                 f"""
