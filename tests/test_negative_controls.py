@@ -71,3 +71,34 @@ def test_wrong_savings_break_join_rule(spark):
     p.__dict__["optimization"] = p.optimization.withColumn(
         "modeled_monthly_savings", (F.col("modeled_monthly_savings") + F.lit(1)).cast("decimal(28,9)"))
     assert _run(p, "batch_savings_match_token_economics") > 0
+
+
+def test_lost_staging_rows_break_count_parity(spark):
+    p = Pipeline(spark, SF)
+    assert _run(p, "E2E-01") == 0
+    p.__dict__["usage_normalized"] = p.usage_normalized.filter("api_key_id <> 'key-8'")
+    del p.__dict__["usage_priced"]
+    p.__dict__["telemetry_stg"] = p.telemetry_stg.filter("api_key_id <> 'key-8'")
+    for cid in ["E2E-01", "normalized_row_count_matches_raw", "E2E-03", "staged_telemetry_row_count_matches_raw"]:
+        assert _run(p, cid) > 0, cid
+
+
+def test_lost_attempts_break_monthly_summary(spark):
+    p = Pipeline(spark, SF)
+    p.__dict__["telemetry_coverage_monthly"] = p.telemetry_coverage_monthly.withColumn("telemetry_attempt_count", F.col("telemetry_attempt_count") - 1)
+    assert _run(p, "monthly_summary_reconciles_to_daily") == 1
+
+
+def test_unknown_keys_count_fact_rows(spark):
+    p = Pipeline(spark, SF)
+    n = p.fact_usage_monthly.filter("provider = 'openai'").count()
+    p.__dict__["fact_usage_monthly"] = p.fact_usage_monthly.withColumn(
+        "provider_key", F.when(F.col("provider") == "openai", "?").otherwise(F.col("provider_key")))
+    assert _run(p, "all_fact_provider_keys_resolve") == n
+
+
+def test_composite_and_one_verdict_controls(spark):
+    p = Pipeline(spark, SF)
+    p.__dict__["token_economics"] = p.token_economics.withColumns(
+        {"usage_cost_estimate": (F.col("usage_cost_estimate") + 1).cast("decimal(28,9)"), "total_tokens": F.col("total_tokens") + 1})
+    assert _run(p, "E2E-13") == 1

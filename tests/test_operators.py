@@ -9,7 +9,11 @@ from tokenledger.operators.allocate import allocate_percent
 from tokenledger.operators.asof import asof_latest, latest_per_key
 from tokenledger.operators.lookup import effective_lookup
 from tokenledger.operators.pricing import token_cost
-from tokenledger.functions.numeric import ratio, strict_greatest
+from tokenledger.functions.keys import hash_key
+from tokenledger.functions.numeric import as_double, ratio, strict_greatest
+from tokenledger.operators.lookup import fits_broadcast
+from tokenledger.plans.marts import application_cost, pct1_of_ratio
+from tokenledger.plans import reports
 
 d = dt.date
 
@@ -117,3 +121,87 @@ def test_latest_per_key(spark):
     df = spark.createDataFrame([("a", 1), ("a", 3), ("b", 2)], "k string, v int")
     got = {r.k: r.v for r in latest_per_key(df, ["k"], [F.col("v").desc()]).collect()}
     assert got == {"a": 3, "b": 2}
+
+
+def test_keys_do_not_collide(spark):
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), (None, "c"), ("∅", "c"), ("-", "c"), ("", "c"), ("1:a", ""), ("1", ":a")], "x string, y string")
+    assert df.select(hash_key("x", "y").alias("k")).distinct().count() == 8
+
+
+def test_published_sums_are_wide(spark):
+    df = spark.createDataFrame([(D("1234567890123"),), (D("98765432109876543210"),)], "x decimal(28,4)")
+    assert [r[0] for r in df.select(as_double("x")).collect()] == [1234567890123.0, 98765432109876543210.0]
+    fin = df.select(F.lit("usage").alias("line_item_type"), F.col("x").alias("distributed_total_input_tokens"),
+                    F.lit(0).cast("decimal(28,4)").alias("distributed_output_tokens"), F.lit(0).cast("decimal(28,4)").alias("distributed_reasoning_tokens"))
+    (row,) = reports.measure(fin, {"t": reports.FINANCIAL["distributed_tokens"]}, []).collect()
+    assert row.t == 98765433344444433333.0
+    big = spark.createDataFrame([(9_000_000_000_000_000, 9_000_000_000_000_000)], "n long, d long")
+    assert big.select(pct1_of_ratio("n", "d")).first()[0] == "100.0"
+
+
+def _wide_dim(spark, n):
+    """n windows: keys with four windows each, two of them overlapping on the 10th to the 12th."""
+    k = F.col("id") % (n // 4)
+    part = (F.col("id") / (n // 4)).cast("int")
+    start = F.element_at(F.array(*[F.lit(x).cast("date") for x in ("2025-01-01", "2025-01-10", "2025-02-01", "2025-03-15")]), part + 1)
+    end = F.element_at(F.array(*[F.lit(x).cast("date") for x in ("2025-01-12", "2025-01-31", "2025-03-14", "2026-01-31")]), part + 1)
+    return spark.range(n).select(k.cast("string").alias("k"), F.concat(F.lit("s"), part.cast("string")).alias("snap"),
+                                 start.alias("effective_start"), end.alias("effective_end"))
+
+
+def test_lookup_has_no_size_limit(spark):
+    n = 200_000
+    dim = _wide_dim(spark, n)
+    assert not fits_broadcast(spark.range(10**9)) and fits_broadcast(spark.range(10))
+    days = {d(2025, 1, 5): (1, "s0"), d(2025, 1, 11): (2, "s0"), d(2025, 1, 13): (1, "s1"), d(2025, 2, 28): (1, "s2"),
+            d(2025, 12, 31): (1, "s3"), d(2026, 2, 1): (0, None)}
+    fact = spark.createDataFrame([(str(k), x) for k in range(0, n // 4, 997) for x in days] + [("none", d(2025, 1, 5))], "k string, dt date")
+    got = effective_lookup(fact, dim, {"k": "k"}, "dt", "effective_start", "effective_end", ["snap"], "cnt").collect()
+    assert len(got) == fact.count()
+    assert all((r.cnt, r.snap) == (days[r.dt] if r.k != "none" else (0, None)) for r in got)
+
+
+def test_allocation_has_no_size_limit(spark):
+    n = 200_000
+    dim = _wide_dim(spark, n).select(
+        F.lit("p").alias("provider"), F.lit("j").alias("provider_project_id"), F.col("k").alias("api_key_id"),
+        F.concat_ws("-", "k", "snap").alias("mapping_id"), F.col("snap").alias("application_name"), F.lit("d").alias("department_name"),
+        F.lit("c").alias("cost_center"), F.lit("0.4").cast("decimal(5,4)").alias("allocation_percentage"),
+        F.col("effective_start").alias("effective_start_date"), F.col("effective_end").alias("effective_end_date"),
+        F.lit("active").alias("mapping_status"), F.lit("mapped").alias("allocation_method"), F.lit("high").alias("allocation_confidence"),
+        F.lit("2025-02-01").cast("date").alias("mapping_recorded_date"))
+    use = spark.createDataFrame([(str(k), x) for k in range(0, n // 4, 1999) for x in (d(2025, 1, 11), d(2025, 3, 1))] + [("none", d(2025, 1, 5))],
+                                "api_key_id string, usage_date date")
+    use = use.select(F.lit("p").alias("provider"), F.lit("j").alias("provider_project_id"), "api_key_id", "usage_date", F.lit(10).cast("bigint").alias("q"))
+    got = allocate_percent(use, dim, ["q"], []).collect()
+    per = {}
+    for r in got:
+        per.setdefault((r.api_key_id, r.usage_date), []).append(r)
+    assert len(per) == use.count()
+    for (k, x), rs in per.items():
+        assert sum(r.alloc__q + r.unalloc__q for r in rs) == 10 and sum(r.source_measure_anchor_flag for r in rs) == 1
+        want = {"none": ["Unallocated"]}.get(k, ["Unallocated", "s0", "s1"] if x.month == 1 else ["Unallocated", "s2"])
+        assert sorted(r.application_name for r in rs) == want
+        assert all(r.is_historical_restatement == (r.application_name in ("s0", "s1")) for r in rs)
+
+
+def test_scope_without_driver_and_with_two_snapshots(spark):
+    """A usage scope without any driver stays whole; two snapshots of a model split one scope."""
+    recon = spark.createDataFrame(
+        [(d(2025, 1, 1), "p", "j", m, "model", "usage", D("6"), D("8"), D("10"), "USD", False, True) for m in ("alone", "two")],
+        "billing_month date, provider string, provider_project_id string, model string, line_item_scope string, line_item_type string, "
+        "usage_cost_estimate decimal(28,9), provider_reported_cost decimal(28,9), invoice_billed_cost decimal(28,9), billing_currency string, "
+        "is_restatement boolean, is_synthetic boolean")
+    drivers = spark.createDataFrame(
+        [(d(2025, 1, 1), "p", "j", "two", s, "text_generation", "app", "dep", "cc", "Allocated", "mapped", "high", False, D("1"), D("1"), D("1"), D("0"), c, "USD", True)
+         for s, c in (("v1", D("1")), ("v2", D("3")))],
+        "billing_month date, provider string, provider_project_id string, model string, model_snapshot string, usage_type string, application_name string, "
+        "department_name string, cost_center string, allocation_status string, allocation_method string, allocation_confidence string, "
+        "is_historical_restatement boolean, distributed_request_count decimal(28,4), distributed_total_input_tokens decimal(28,4), "
+        "distributed_output_tokens decimal(28,4), distributed_reasoning_tokens decimal(28,4), driver_usage_cost_estimate decimal(28,9), "
+        "billing_currency string, is_synthetic boolean")
+    got = {(r.model, r.model_snapshot): r for r in application_cost(recon, drivers).collect()}
+    alone = got["alone", None]
+    assert alone.allocation_method == "no_eligible_driver" and alone.unallocated_invoice_billed_cost == 10 and alone.source_measure_anchor_flag
+    assert got["two", "v1"].allocated_invoice_billed_cost == D("2.5") and got["two", "v2"].allocated_invoice_billed_cost == D("7.5")
+    assert len(got) == 3 and sum(r.source_measure_anchor_flag for (m, _), r in got.items() if m == "two") == 1
