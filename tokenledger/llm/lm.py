@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tokenledger.llm import tokens as tk
 from tokenledger.llm.chunks import bucket_bits, by_bucket, chunk_count, chunk_of, pack_counts, text_bytes, unpack_counts
-from tokenledger.llm.shared import fold, sql_type, written
+from tokenledger.llm.shared import fold, sql_type, tidied, tidy, written
 
 END = tk.U64(0x51ED270B35A1F2C7)
 START = tk.U64(0xB7C94E1D02F86A35)
@@ -130,9 +130,9 @@ def count_features(docs: DataFrame, key: str, text: str, em_fold: int) -> DataFr
 
     ddl = f"ids array<{sql_type(docs, key)}>, folds array<int>, sizes array<bigint>, c1 binary, c2 binary, h1 binary, h2 binary, v bigint"
     schema = to_arrow_schema(StructType.fromDDL(ddl))
-    answers = (rows.groupBy("chunk").applyInArrow(ask, "bucket int, chunk int, kind int, keys binary, c binary, h binary")
-               .groupBy("bucket").applyInArrow(merge, "bucket int, chunk int, kind int, c binary, h binary, v long"))
-    return rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(fill, ddl)
+    answers = (rows.groupBy("chunk").applyInArrow(tidied(ask), "bucket int, chunk int, kind int, keys binary, c binary, h binary")
+               .groupBy("bucket").applyInArrow(tidied(merge), "bucket int, chunk int, kind int, c binary, h binary, v long"))
+    return rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(tidied(fill), ddl)
 
 
 def _each(rows: pa.RecordBatch):
@@ -206,6 +206,7 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", em_fold:
                 side = LOWEST + 1
                 cell, many = np.unique((context_bucket(ctx) * side + _cell(p2)) * side + _cell(p1), return_counts=True)
                 yield pa.RecordBatch.from_pydict({"cell": cell, "n": many.astype(np.int64)})
+            tidy()
 
     cells = (features.select("folds", "sizes", "c1", "c2", "h1", "h2").mapInArrow(histogram, "cell long, n long")
              .groupBy("cell").agg(F.sum("n").alias("n")).collect())  # at most N_BUCKETS * (LOWEST + 1)**2 cells
@@ -226,6 +227,7 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", em_fold:
                     pa.array(np.add.reduceat((c1 > 0).astype(np.int64), cuts[:-1])), pa.array(np.full(len(folds), n, np.int64)),
                     pa.array(np.add.reduceat(base, cuts[:-1])), pa.array(np.add.reduceat(np.log10(p), cuts[:-1]))],
                     ["k", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+            tidy()
 
     out = features.select("ids", "folds", "sizes", "c1", "c2").mapInArrow(
         score, f"k {sql_type(docs, key)}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -29,6 +29,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tokenledger.llm import tokens as tk
 from tokenledger.llm.chunks import bucket_bits, by_bucket, chunk_count, chunk_of, text_bytes
+from tokenledger.llm.shared import tidied
 
 CHUNK, HASH = "_chunk", "_text_hash"
 
@@ -121,10 +122,10 @@ def _level(rows: DataFrame, text: str, lengths: list[int], level: int, shift: in
                          "rep": pa.array([every[i] for i in pick], pa.binary())}, empty.schema)
 
     empty = pa.schema([(CHUNK, pa.int32()), (HASH, pa.int64()), ("t", pa.string()), ("rep", pa.binary())]).empty_table()
-    answers = (rows.groupBy(CHUNK).applyInArrow(ask, "bucket int, chunk int, keys binary, many binary")
-               .groupBy("bucket").applyInArrow(merge, "chunk int, bucket int, rep binary"))
+    answers = (rows.groupBy(CHUNK).applyInArrow(tidied(ask), "bucket int, chunk int, keys binary, many binary")
+               .groupBy("bucket").applyInArrow(tidied(merge), "chunk int, bucket int, rep binary"))
     return rows.groupBy(CHUNK).cogroup(answers.groupBy("chunk")).applyInArrow(
-        fill, f"{CHUNK} int, {HASH} long, t string, rep binary")
+        tidied(fill), f"{CHUNK} int, {HASH} long, t string, rep binary")
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 35, base: int = 9,
@@ -166,4 +167,4 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
         return out.append_column("n_words", pa.array(n_words, pa.int64())).append_column("n_removed", pa.array(n_removed, pa.int64()))
 
     marks = found.select(CHUNK, HASH, "rep")
-    return rows.groupBy(CHUNK).cogroup(marks.groupBy(CHUNK)).applyInArrow(cut, schema)
+    return rows.groupBy(CHUNK).cogroup(marks.groupBy(CHUNK)).applyInArrow(tidied(cut), schema)

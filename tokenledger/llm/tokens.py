@@ -16,7 +16,9 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 #: Texts of a block are processed together up to this many bytes (a longer text alone).
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
+#: Bytes hashed at a time; the tables of powers stay this small.
+HASH_BYTES = 1 << 18
 
 _rng = np.random.default_rng(20240229)
 SPACE = np.zeros(256, bool)
@@ -45,10 +47,11 @@ def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) mod 2**64, kept for later calls."""
     have = _pow.get(base)
     if have is None or len(have) < n:
-        size = max(n, 1 << 16)
-        p = np.full(size, U64(base % 2**64))
+        p = np.full(max(n, 1 << 16), U64(base % 2**64))
         p[0] = U64(1)
-        have = _pow[base] = np.multiply.accumulate(p)
+        have = np.multiply.accumulate(p)
+        if n <= 2 * HASH_BYTES:  # longer ones (a very long word or line) are not kept
+            _pow[base] = have
     return have[:n]
 
 
@@ -112,7 +115,7 @@ def span_hash(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.n
     a = 0
     while a < len(starts):
         lo = int(starts[a])
-        b = max(a + 1, int(np.searchsorted(starts, lo + BLOCK_BYTES)))
+        b = max(a + 1, int(np.searchsorted(starts, lo + HASH_BYTES)))
         hi = int(ends[b - 1])
         x = table[buf[lo:hi]]
         x *= powers(BASE, hi - lo)
