@@ -186,6 +186,16 @@ def test_decontamination(corpus, spark, nothing):
     assert find_leaks(corpus, odd).count() == 0
 
 
+def test_decontamination_folds_case_beyond_ascii(spark):
+    item = "été où élève naïf garçon forêt crème brûlée déjà Noël hôtel straße Ωμέγας știință"
+    bench = spark.createDataFrame([(5, item)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "LA. " + item.upper() + " ÉON"), (2, "avant " + item + " après"), (3, item.title()), (4, "tout autre chose " * 9), (5, None)],
+                                 "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["n_match"]) for r in find_leaks(docs, bench).collect()}
+    assert got == {(1, 5, 14), (2, 5, 14), (3, 5, 14)}
+    assert {r["doc_id"] for r in remove_leaks(docs, bench).select("doc_id").collect()} == {4, 5}
+
+
 # -- Jaccard join
 
 def brute_components(data, n, percent):
