@@ -160,6 +160,19 @@ def test_quality_rules(corpus, nothing):
     assert quality_rules(nothing, language_references(nothing)).count() == 0
 
 
+def test_quality_rules_reject_short_symbol_junk(corpus, spark):
+    refs = language_references(corpus)
+    clean = [r for r in corpus.filter("lang = 'en' and doc_id < 900000").collect()
+             if 55 <= len(WORD.findall(r["text"])) <= 130 and not re.search(r"[#*$%&|<>0-9@]", r["text"])]
+    assert len(clean) >= 5
+    junk = [(r["doc_id"] + 10**6, re.sub(r"(\S+)\s+(\S+)\s+", r"\1\2 | ", r["text"]), "en") for r in clean]
+    plain = [(r["doc_id"], r["text"], "en") for r in clean]
+    got = rows(quality_rules(spark.createDataFrame(junk + plain, "doc_id long, text string, lang string"), refs))
+    passed = [r for r in got if not r["base_failed"]]
+    assert all(r["kept"] for r in passed if r["doc_id"] < 10**6)
+    assert not any(r["kept"] for r in passed if r["doc_id"] >= 10**6)
+
+
 # -- decontamination
 
 def test_decontamination(corpus, spark, nothing):

@@ -163,8 +163,8 @@ def quality_rules(docs: DataFrame, references: dict[str | None, np.ndarray], key
                   max_word_distance: float = 0.08, min_chars: int = 200, min_words: int = 100) -> DataFrame:
     """Per document: the base counts, the two distances and the verdict ``kept``.
 
-    The thresholds are widened by ``1 / sqrt(n_words)`` (characters) and ``3 / sqrt(n_words)``
-    (words), the sampling noise of short texts."""
+    The thresholds are widened by the sampling noise of short texts, each by its own number of
+    observations: ``1 / sqrt(characters)`` and ``2.5 / sqrt(n_words)``."""
     names = [x for x in references if x is not None]
     refs = np.stack([references[x] for x in names] + [references[None]])
 
@@ -178,9 +178,9 @@ def quality_rules(docs: DataFrame, references: dict[str | None, np.ndarray], key
         dw = js_distance(words.astype(float), ref[:, N_CLASSES:])
         n = c["n_words"]
         base = base_failed(c)
-        noise = 1 / np.sqrt(np.maximum(n, 1))
-        far = (chars.sum(axis=1) >= min_chars) & (dc > max_char_distance + noise)
-        far |= (n >= min_words) & (dw > max_word_distance + 3 * noise)
+        n_chars = chars.sum(axis=1)
+        far = (n_chars >= min_chars) & (dc > max_char_distance + 1 / np.sqrt(np.maximum(n_chars, 1)))
+        far |= (n >= min_words) & (dw > max_word_distance + 2.5 / np.sqrt(np.maximum(n, 1)))
         return pa.table({"k": t.column("_k"), **{x: c[x].astype(np.int64) for x in COUNTS}, "base_failed": base,
                          "char_distance": dc, "word_distance": dw, "kept": ~base & ~far})
 
