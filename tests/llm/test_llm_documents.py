@@ -267,6 +267,38 @@ def test_jaccard_join_near_copies_and_chains(spark):
     check_components(df, 3, 50)
 
 
+def test_jaccard_join_deals_a_hot_group_over_parts(spark):
+    import random
+
+    from tokenledger.llm.chunks import unpack_counts
+    from tokenledger.llm.jaccard import mixed_entries, shared_sets, with_components
+
+    r = random.Random(5)
+    words = [f"w{i}" for i in range(40)]
+    data = []
+    for i in range(120):  # texts of one group, a quarter of the words differs from text to text
+        w = list(words)
+        for j in range(i % 3 * 4):
+            w[39 - j] = f"x{r.randrange(60)}"
+        data.append((i, " ".join(w)))
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    want = brute_components(rows(df), 3, 60)
+    for most in (40, 10**6):
+        got = jaccard_components(df, n=3, percent=60, part_entries=most)
+        assert Counter((x["doc_id"], x["n_shingles"], x["component_id"]) for x in got.collect()) == want
+    lead = shared_sets(df, "doc_id", "text", 3, 60).filter("members is not null").dropDuplicates(["class"])
+    classes = spark.createDataFrame(lead.collect(), lead.schema)
+    parted = mixed_entries(with_components(classes, None), 3, 4, 80).collect()
+    held, at_once = Counter(), Counter()
+    for x in parted:
+        n = len(unpack_counts(bytes(x["who"])))
+        held[x["bucket"], x["x"], x["y"]] += n
+        at_once[x["bucket"]] += n if x["x"] == x["y"] else 0
+    assert max(at_once.values()) > 200 and max(held.values()) <= 120  # no task holds the hot bucket
+    one = with_components(classes, None).withColumn("component", F.lit(7).cast("long"))
+    assert mixed_entries(one, 3, 4, 80).count() == 0  # groups in one component are not gathered
+
+
 def test_connected_components(spark):
     edges = spark.createDataFrame([(9, 8), (8, 7), (7, 6), (6, 5), (1, 2), (3, 3), (None, 4), (20, 30), (30, 20)], "a long, b long")
     got = {(r["node"], r["label"]) for r in connected_components(edges).collect()}
