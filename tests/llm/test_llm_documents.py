@@ -9,7 +9,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from tokenledger.llm.components import connected_components
-from tokenledger.llm.decontam import find_leaks, remove_leaks
+from tokenledger.llm.decontam import Seeds, find_leaks, item_words, remove_leaks
 from tokenledger.llm.jaccard import jaccard_components
 from tokenledger.llm.langid import fit_language_model, identify_language
 from tokenledger.llm.licenses import TEMPLATES, patience, scan_licenses
@@ -209,6 +209,17 @@ def test_decontamination_folds_case_beyond_ascii(spark):
     assert {r["doc_id"] for r in remove_leaks(docs, bench).select("doc_id").collect()} == {4, 5}
 
 
+def test_decontamination_one_changed_word_anywhere():
+    import pyarrow as pa
+
+    for n in range(10, 21):
+        words = [f"w{i}" for i in range(n)]
+        seeds = Seeds([3], [" ".join(words)], 5)
+        texts = [" ".join(["before", *words[:i], "changed", *words[i + 1:], "after"]) for i in range(n)]
+        got = seeds.verified(*item_words(pa.array(texts)), 13, 0.8, 3)
+        assert [r[0] for r in got] == list(range(n))
+
+
 # -- Jaccard join
 
 def brute_components(data, n, percent):

@@ -4,7 +4,9 @@ Every benchmark item is hashed at every position under fixed masks (``1`` = the
 ``0`` = any word).  Training texts are hashed the same way; equal hashes give a diagonal of
 (text, item), along which all words are compared and the best stretch with substitutions
 (+1 a match, ``mismatch_cost`` off for another word) is taken.  A stretch with at least
-``min(min_match, ceil(item_share * words of the item))`` equal words is a leak.
+``min(min_match, ceil(item_share * words of the item))`` equal words is a leak, and so is a
+diagonal whose equal words over the whole item reach ``item_share`` (a changed word near an end
+costs no more than itself).
 
 Words are case-folded runs of ASCII letters, digits and non-ASCII characters (all of Unicode:
 ``É`` equals ``é``, ``STRASSE`` equals ``straße``).  The hashed
@@ -120,7 +122,11 @@ class Seeds:
             end = int((run - low).argmax())
             start = int(run[: end + 1].argmin())
             matched = int(same[start:end].sum())
-            if matched >= min(min_match, int(np.ceil(item_share * len(item)))):
+            share = int(np.ceil(item_share * len(item)))
+            if matched < min(min_match, share) and same.sum() >= share:
+                equal = np.flatnonzero(same)
+                start, end, matched = int(equal[0]), int(equal[-1]) + 1, len(equal)
+            if matched >= min(min_match, share):
                 got = (matched, end - start, a + start + diag, a + start)
                 if best.get((d, i), (0,))[0] < matched:
                     best[d, i] = got
