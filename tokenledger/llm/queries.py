@@ -8,6 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenledger.llm.alignment import align_tokenizers, load_tokenizers
+from tokenledger.llm.audit import ORACLE as AUDIT_SQL
+from tokenledger.llm.audit import audit_filters
 from tokenledger.llm.chat import format_conversations, read_back, token_counter
 from tokenledger.llm.decontam import find_leaks
 from tokenledger.llm.htmltext import extract_main_text, train_field
@@ -15,11 +18,13 @@ from tokenledger.llm.jaccard import jaccard_components
 from tokenledger.llm.langid import fit_language_model, identify_language
 from tokenledger.llm.licenses import scan_licenses
 from tokenledger.llm.lm import lm_scores
+from tokenledger.llm.pii import personal_data
 from tokenledger.llm.quality import language_references, quality_rules
 from tokenledger.llm.sentences import load_pieces, sample_segmentations
 from tokenledger.llm.shared import fold, table
 from tokenledger.llm.substring import remove_repeats
 
+BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
 SENTENCE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"  # a public vocabulary file, read by the driver
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""  # fixed value: its public split pattern
@@ -78,12 +83,25 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=5, percent=75)
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(table(spark, sf_dir, "documents"), load_tokenizers(BYTE_MODEL, SENTENCE_MODEL))
+
+
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_language_id, op2_license_scan, op3_substring_dedup, op4_chat_formatting, op5_lm_scoring,
-                                   op6_html_extraction, op7_sentencepiece, op8_quality_rules, op9_decontamination, op10_jaccard_join)}
+                                   op6_html_extraction, op7_sentencepiece, op8_quality_rules, op9_decontamination, op10_jaccard_join,
+                                   op11_tokenizer_alignment, op12_personal_data, op13_filter_audit)}
 
 
 def oracle_sql() -> dict[str, str]:
     """Results that SQL cannot express (learned models, 64-bit rolling hashes, byte windows) have
     no text here; ``tests/llm`` holds them against brute force."""
-    return {}
+    return {"op13_filter_audit": AUDIT_SQL}
