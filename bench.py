@@ -36,6 +36,7 @@ def main() -> None:
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
+             .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")

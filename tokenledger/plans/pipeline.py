@@ -8,6 +8,9 @@ written unless ``materialize()`` is called.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -199,25 +202,25 @@ class Pipeline:
                .withColumn("source_cost", F.lit(None).cast("decimal(38,9)")))
         return src.unionByName(dst)
 
-    @cached_property
-    def stage_control_results(self) -> DataFrame:
-        from tokenledger.quality.controls import catalogue, evaluate
-        from tokenledger.sources.constants import EXPECTED_PIPELINES
-        return evaluate(self, [c for c in catalogue() if c.stage in EXPECTED_PIPELINES])
+    #: Set by a deployment: its logs answer for what ran and with which result.
+    deployment = None
 
     @cached_property
     def pipeline_status(self) -> DataFrame:
-        from tokenledger.quality.status import pipeline_status
-        return pipeline_status(self.spark, self.stage_control_results)
+        """Expected stages with their latest logged run; without a deployment none ever ran."""
+        from tokenledger.runs.deploy import RUN_LOG, pipeline_status
+        runs = self.deployment.logs.runs.read() if self.deployment else self.spark.createDataFrame([], RUN_LOG)
+        return pipeline_status(self.spark, runs)
 
-    @cached_property
+    @property
     def control_results(self) -> DataFrame:
-        """All controls: the stage controls (evaluated once, also feeding the
-        pipeline status) plus the end-to-end and semantic controls."""
-        from tokenledger.quality.controls import catalogue, evaluate
-        from tokenledger.sources.constants import EXPECTED_PIPELINES
-        rest = [c for c in catalogue() if c.stage not in EXPECTED_PIPELINES]
-        return self.stage_control_results.unionByName(evaluate(self, rest))
+        """Every control's verdict: the latest logged one of each, or evaluated now where there
+        is no deployment."""
+        from tokenledger.quality.controls import evaluate
+        from tokenledger.runs.store import latest
+        if self.deployment is None:
+            return evaluate(self)
+        return latest(self.deployment.logs.controls.read(), ["pipeline_name", "control_id"], ["checked_at", "pipeline_run_id"])
 
     @cached_property
     def control_catalog(self) -> DataFrame:
@@ -227,51 +230,31 @@ class Pipeline:
 
     @cached_property
     def control_status(self) -> DataFrame:
-        from tokenledger.quality.status import control_status
-        return control_status(self.control_results, self.control_catalog)
+        from tokenledger.runs.deploy import CONTROL_LOG, control_status
+        results = self.deployment.logs.controls.read() if self.deployment else self.spark.createDataFrame([], CONTROL_LOG)
+        return control_status(self.control_catalog, results)
 
+    @property
+    def load_reconciliation(self) -> DataFrame:
+        from tokenledger.runs.deploy import LOAD_LOG, load_reconciliation
+        return load_reconciliation(self.deployment.logs.loads.read() if self.deployment else self.spark.createDataFrame([], LOAD_LOG))
 
     # ---- materialisation -----------------------------------------------------
-    def materialize(self, names: list[str] | None = None, base: str | None = None) -> str:
-        """Write each model layer (in dependency order) as Parquet under the
-        session's shared checkpoint folder and read it back, like the
-        warehouse tables of the reference.  Later models then start from a
-        short lineage (a scan), which keeps wide plans (the control suite)
-        small and lets a lost executor recompute from the written layer
-        instead of from the raw feeds."""
-        import uuid
-
+    def materialize(self, base: str | None = None, run_id: str = "run-1", clock: Callable[[], dt.datetime] | None = None) -> str:
+        """Deploys every stage (see ``runs.deploy``) under the session's shared folder and reads
+        the published layers from then on: later models start from a scan, and a lost executor
+        recomputes from the written layer.  Verdicts are recorded, not raised."""
+        from tokenledger.runs.deploy import Deployment, utc_now
         from tokenledger.session import checkpoint_dir
-        import time
         base = base or f"{checkpoint_dir(self.spark).rstrip('/')}/layers-{uuid.uuid4().hex[:12]}"
-        self.layer_seconds = {}
-        # 1:1 staging chains are written once, at their widest model; the narrower
-        # upstream models become projections of that written layer.  The raw feeds
-        # stay as they are derived, so parity controls compare two sources.
-        projected = {parent: {child: getattr(self, child).columns for child in kids}
-                     for parent, kids in ONE_TO_ONE.items()}
-        for n in names or LAYER_ORDER:
-            t0 = time.perf_counter()
-            path = f"{base}/{n}"
-            getattr(self, n).write.mode("overwrite").parquet(path)
-            self.__dict__[n] = self.spark.read.parquet(path)
-            for child, cols in projected.get(n, {}).items():
-                self.__dict__[child] = self.__dict__[n].select(*cols)
-            self.layer_seconds[n] = round(time.perf_counter() - t0, 3)
+        run = Deployment(self, base, clock or utc_now, on_fail="record")
+        run.run(run_id)
+        self.layer_seconds = run.seconds
         return base
 
 
-# dependency order of the model layers
-LAYER_ORDER = [
-    "usage_priced", "usage_cost_monthly", "raw_cost", "provider_cost_stg", "telemetry_stg", "cost_reconciliation", "usage_daily", "app_driver_monthly",
-    "telemetry_recon_daily", "telemetry_coverage_monthly", "token_economics", "application_cost",
-    "optimization", "unit_economics", "experiment_driver_daily", "experiment_daily", "experiment_periods",
-    "experiments", "dim_date", "dim_provider", "dim_model", "dim_application", "fact_financial_monthly",
-    "fact_usage_monthly", "fact_unit_economics_monthly", "fact_optimization_monthly",
-    "fact_experiment_current", "stage_control_results", "pipeline_status"]
-
-# models that are 1:1 row-preserving projections of a wider written layer
-ONE_TO_ONE = {"usage_priced": ["usage_normalized"]}
+#: Run ids and scheduled times of the runs behind the registered queries.
+RUN_1, RUN_2 = ("run-1", dt.datetime(2026, 7, 1)), ("run-2", dt.datetime(2026, 7, 2))
 
 _CACHE: dict[tuple[str, str, bool], Pipeline] = {}
 
@@ -283,6 +266,6 @@ def pipeline(spark: SparkSession, sf_dir: str, materialized: bool = False) -> Pi
     if key not in _CACHE:
         p = Pipeline(spark, sf_dir)
         if materialized:
-            p.materialize()
+            p.materialize(run_id=RUN_1[0], clock=lambda: RUN_1[1])
         _CACHE[key] = p
     return _CACHE[key]

@@ -518,20 +518,31 @@ def catalogue() -> list[Control]:
 # evaluation
 # ---------------------------------------------------------------------------
 
+def _one_call(agg: str) -> bool:
+    """A single aggregate call, which can take the filter of its rows itself."""
+    if "DISTINCT" in agg or not re.fullmatch(r"\w+\(.*\)", agg, re.DOTALL):
+        return False
+    depth = 0
+    for i, ch in enumerate(agg):
+        depth += (ch == "(") - (ch == ")")
+        if ch == ")" and not depth:
+            return i == len(agg) - 1
+    return False
+
+
 def _source_key(src, agg):
     """Scalars over the same source are computed in one aggregate pass:
     plain tables by (table, filter); HAVING rules by (table, keys, filter)."""
     kind = type(src).__name__
     if kind == "Table":
-        return ("T", src.name, src.where, "DISTINCT" in agg and agg)
+        return ("T", src.name, None if _one_call(agg) else src.where, "DISTINCT" in agg and (agg, src.where))
     if kind == "Groups":
         return ("G", src.name, src.keys, src.where)
     return ("X", id(src))
 
 
-def evaluate(p, controls: list[Control] | None = None) -> DataFrame:
-    """One row per control: pipeline_name, control_id, control_class,
-    violation_count, status (PASS iff 0).
+def _measure(p, controls: list[Control]) -> tuple[DataFrame, list[str]]:
+    """(scalar, value) rows, and each control's formula over its scalars' names.
 
     Every scalar of every control is grouped by its source; each source is
     scanned ONCE with all of its aggregates (HAVING rules on the same table
@@ -540,7 +551,6 @@ def evaluate(p, controls: list[Control] | None = None) -> DataFrame:
     the suite is a union of scans without a cross join.  Distinct counts are
     kept apart from the row rules of their table, which then need no shuffle
     of rows."""
-    controls = controls if controls is not None else catalogue()
     groups: dict[tuple, list[tuple[str, object]]] = {}
     renamed: list[str] = []
     for ci, ct in enumerate(controls):
@@ -561,12 +571,23 @@ def evaluate(p, controls: list[Control] | None = None) -> DataFrame:
             flags = table.groupBy(*src.keys).agg(
                 *[F.expr(s.source.having).alias(f"h_{col}") for col, s in items])
             one = flags.agg(*[F.count_if(F.col(f"h_{col}")).alias(col) for col, _ in items])
+        elif key[0] == "T" and key[2] is None and not key[3]:  # filters ride on the aggregates: one scan a table
+            one = getattr(p, src.name).agg(*[F.expr(s.agg + (f" FILTER (WHERE {s.source.where})" if s.source.where else "")).alias(col)
+                                             for col, s in items])
         else:
             one = src.spark(p).agg(*[F.expr(s.agg).alias(col) for col, s in items])
         cells = ", ".join(f"'{col}', CAST({col} AS DECIMAL(38,9))" for col, _ in items)
         part = one.select(F.expr(f"stack({len(items)}, {cells})").alias("scalar", "value"))
         measured = part if measured is None else measured.unionByName(part)
 
+    return measured, renamed
+
+
+def evaluate(p, controls: list[Control] | None = None) -> DataFrame:
+    """One row per control: pipeline_name, control_id, control_class,
+    violation_count, status (PASS iff 0).  See ``_measure`` for the scans."""
+    controls = controls if controls is not None else catalogue()
+    measured, renamed = _measure(p, controls)
     # one row a control: its own scalars side by side, then its formula
     owner = p.spark.createDataFrame(
         [(f"s{ci}_{name}", ci) for ci, ct in enumerate(controls) for name in ct.scalars], "scalar string, control int")
@@ -585,6 +606,19 @@ def evaluate(p, controls: list[Control] | None = None) -> DataFrame:
     return out.withColumn("status", F.when(F.col("violation_count") == 0, "PASS").otherwise("FAIL"))
 
 
+def verdicts(p, controls: list[Control]) -> list[tuple[Control, int]]:
+    """The violation count of each control, for a stage's gate: the scalars (a few a control)
+    come to the driver in one collect, the formulas are constants for the optimizer."""
+    measured, renamed = _measure(p, controls)
+    cells = {r["scalar"]: r["value"] for r in measured.collect()}
+    if not controls:
+        return []
+    literal = {k: "CAST(NULL AS DECIMAL(38,9))" if v is None else f"CAST('{v}' AS DECIMAL(38,9))" for k, v in cells.items()}
+    exprs = [f"CAST({re.sub(r'[$]?\bs[0-9]+_[A-Za-z0-9_]+', lambda m: literal.get(m[0], m[0]), e)} AS BIGINT) AS v{i}" for i, e in enumerate(renamed)]
+    row = p.spark.sql("SELECT " + ", ".join(exprs)).first()
+    return [(c, row[f"v{i}"]) for i, c in enumerate(controls)]
+
+
 def evaluate_sql(controls: list[Control] | None = None) -> str:
     controls = controls if controls is not None else catalogue()
     parts = [f"SELECT '{ct.stage}' AS pipeline_name, '{ct.control_id}' AS control_id, "
