@@ -40,16 +40,16 @@ verdicts AS (
   SELECT pipeline_name, bool_and(violation_count = 0) AS good,
     string_agg(control_id, ', ' ORDER BY control_id) FILTER (WHERE violation_count <> 0) AS failed
   FROM stage_control_results GROUP BY pipeline_name),
-runs AS (SELECT * FROM (VALUES ('{RUN_1[0]}', TIMESTAMP '{RUN_1[1]}', 10), ('{RUN_2[0]}', TIMESTAMP '{RUN_2[1]}', 5)) r(pipeline_run_id, at, stages))
-SELECT pipeline_run_id, pipeline_name, at, if(good, 'PASS', 'FAIL') AS status, CASE WHEN runs.stages = 10 THEN tables ELSE 0 END AS loaded,
+runs AS (SELECT * FROM (VALUES ('{RUN_1[0]}', TIMESTAMP '{RUN_1[1]}', 10), ('{RUN_2[0]}', TIMESTAMP '{RUN_2[1]}', 5)) r(pipeline_run_id, logged_at, stages))
+SELECT pipeline_run_id, pipeline_name, logged_at, if(good, 'PASS', 'FAIL') AS status, CASE WHEN runs.stages = 10 THEN tables ELSE 0 END AS loaded,
   CASE WHEN NOT good THEN pipeline_name || ' failed: ' || failed END AS error_message
 FROM runs JOIN stages ON run_order <= runs.stages JOIN verdicts USING (pipeline_name)"""
 CTES["pipeline_status"] = f"""
-SELECT e.run_order, e.pipeline_name, r.pipeline_run_id, r.at AS started_at, r.at AS completed_at, COALESCE(r.status, 'MISSING') AS status,
+SELECT e.run_order, e.pipeline_name, r.pipeline_run_id, r.logged_at AS started_at, r.logged_at AS completed_at, COALESCE(r.status, 'MISSING') AS status,
   r.loaded AS loaded_table_count, r.error_message, CAST(r.status IS NOT DISTINCT FROM 'PASS' AS INTEGER) AS pass_flag,
   CAST(r.status IS DISTINCT FROM 'PASS' AS INTEGER) AS attention_flag
 FROM (SELECT * FROM (VALUES {_EXP}) v(run_order, pipeline_name, tables)) e
-LEFT JOIN (SELECT * FROM run_log QUALIFY row_number() OVER (PARTITION BY pipeline_name ORDER BY at DESC, pipeline_run_id DESC) = 1) r
+LEFT JOIN (SELECT * FROM run_log QUALIFY row_number() OVER (PARTITION BY pipeline_name ORDER BY logged_at DESC, pipeline_run_id DESC) = 1) r
   ON e.pipeline_name = r.pipeline_name"""
 _CAT = ", ".join("(" + ", ".join(map(_text, r)) + ")" for r in catalog_rows(catalogue()))
 _AGAIN = ", ".join(f"'{n}'" for n in K.EXPECTED_PIPELINES[:5])

@@ -274,8 +274,7 @@ def application_cost(recon: DataFrame, drivers: DataFrame) -> DataFrame:
         "billing_currency", F.lit("invoice_billed_cost").alias("financial_basis"),
         F.lit("Allocated invoiced cost").alias("cost_basis_label"), "is_synthetic")
     qty0 = F.lit(0).cast("decimal(28,4)")
-    nodrv = scope_d.filter(c("eligible_driver_denominator").isNull()
-                          | (c("eligible_driver_denominator") == 0)).select(
+    nodrv = scope_d.filter(~F.coalesce(has_driver, F.lit(False))).select(  # none, zero or negative
         hash_key(*SCOPE, F.lit("NO_ELIGIBLE_DRIVER")).alias("application_cost_id"),
         hash_key(*SCOPE).alias("financial_source_scope_id"),
         *M_KEYS, F.lit(None).cast("string").alias("model_snapshot"), F.lit(None).cast("string").alias("usage_type"),

@@ -120,6 +120,16 @@ class Pipeline:
     def application_cost(self) -> DataFrame:
         return marts.application_cost(self.cost_reconciliation, self.app_driver_monthly)
 
+    @cached_property
+    def application_cost_gaps(self) -> DataFrame:
+        """P14 where scopes lack drivers: none in every fifth month of one provider, a negative
+        total in July of the other."""
+        from pyspark.sql import functions as F
+        month, provider, cost = F.month("billing_month"), F.col("provider"), F.col("driver_usage_cost_estimate")
+        d = self.app_driver_monthly.filter(~((provider == "openai") & (month % 5 == 0)))
+        turned = F.when((provider == "anthropic") & (month == 7), -cost).otherwise(cost).cast(d.schema["driver_usage_cost_estimate"].dataType)
+        return marts.application_cost(self.cost_reconciliation, d.withColumn("driver_usage_cost_estimate", turned))
+
     @cached_property
     def optimization(self) -> DataFrame:
         return marts.optimization(self.token_economics, self.telemetry_coverage_monthly)

@@ -18,6 +18,7 @@ USAGE_COLUMNS = ["usage_date", "provider", "usage_type", "provider_project_id",
                  "uncached_input_tokens", "cache_read_input_tokens", "cache_creation_5m_tokens", "cache_creation_1h_tokens", "is_synthetic"]
 CACHE_COLUMNS = ["uncached_input_tokens", "cache_read_input_tokens", "cache_creation_5m_tokens", "cache_creation_1h_tokens"]
 USAGE_KINDS = ["openai/text_generation", "openai/embedding", "anthropic/text_generation"]
+REASONING_MODEL = "chat-large"
 FAILURE_STAGES = ["rejected_pre_processing", "mid_generation_error"]
 
 
@@ -53,6 +54,7 @@ COST_RULES = {
     "other_lines_have_no_reported_cost": "line_item_type <> 'usage' AND provider_reported_cost <> 0",
     "credit_is_negative": "line_item_type = 'credit' AND (credit_amount >= 0 OR invoice_billed_cost >= 0)",
     "only_credits_have_credit": "line_item_type <> 'credit' AND credit_amount <> 0",
+    "adjustment_reason_present": "COALESCE(adjustment_reason, '') = ''",
 }
 
 TELEMETRY_RULES = {
@@ -65,15 +67,27 @@ TELEMETRY_RULES = {
     "openai_cached_within_input": f"{OPENAI} AND COALESCE(cached_input_tokens, 0) > COALESCE(input_tokens, 0)",
     "openai_has_no_uncached_part": f"{OPENAI} AND COALESCE(uncached_input_tokens, 0) <> 0",
     "anthropic_has_no_input_total": f"{ANTHROPIC} AND (COALESCE(input_tokens, 0) <> 0 OR COALESCE(cached_input_tokens, 0) <> 0)",
+    "reasoning_only_on_reasoning_model": f"COALESCE(reasoning_tokens, 0) > 0 AND NOT ({OPENAI} AND model = '{REASONING_MODEL}')",
     "success_has_no_failure_stage": "attempt_status = 'success' AND COALESCE(failure_stage, '') <> ''",
     "failure_has_known_stage": "attempt_status <> 'success' AND (" + _none_of("failure_stage", FAILURE_STAGES) + ")",
 }
 
 
-def validate(feed: DataFrame, rules: dict[str, str], columns: list[str] | None = None) -> DataFrame:
-    """(rule, violations) of one feed; one aggregate pass."""
-    one = feed.agg(*[F.count_if(F.expr(p)).alias(n) for n, p in rules.items()])
-    pairs = [f"'{n}', {n}" for n in rules]
+#: Rules of a whole feed: an aggregate that counts what is wrong.  The row band of the usage feed
+#: is its grain: at least a row, at most one a day, key, model kind and batch flag.
+USAGE_GRAINS_A_DAY = 10 * 3 * 2
+USAGE_WHOLE = {"row_count_in_band": f"CAST(COUNT(*) NOT BETWEEN 1 AND {((K.PERIOD_END - K.PERIOD_START).days + 1) * USAGE_GRAINS_A_DAY} AS BIGINT)"}
+COST_WHOLE = {
+    "all_line_types_occur": " + ".join(f"CAST(count_if(line_item_type = '{t}') = 0 AS BIGINT)" for t in ["usage", *K.NON_USAGE_LINE_TYPES]),
+    "totals_differ": "CAST(ABS(COALESCE(SUM(provider_reported_cost), 0) - COALESCE(SUM(invoice_billed_cost), 0)) < 0.000001 AS BIGINT)",
+}
+
+
+def validate(feed: DataFrame, rules: dict[str, str], columns: list[str] | None = None, whole: dict[str, str] | None = None) -> DataFrame:
+    """(rule, violations) of one feed; one aggregate pass for the rules of rows and of the whole."""
+    whole = whole or {}
+    one = feed.agg(*[F.count_if(F.expr(p)).alias(n) for n, p in rules.items()], *[F.expr(p).alias(n) for n, p in whole.items()])
+    pairs = [f"'{n}', {n}" for n in (*rules, *whole)]
     if columns is not None:
         pairs.append(f"'column_set', {len(set(columns) ^ set(feed.columns))}L")
     return one.select(F.expr(f"stack({len(pairs)}, {', '.join(pairs)})").alias("rule", "violations"))

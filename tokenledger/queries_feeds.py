@@ -26,6 +26,7 @@ COST_IN_ORDER = {
     "other_lines_have_no_reported_cost": "line_item_type = 'usage' OR provider_reported_cost = 0",
     "credit_is_negative": "line_item_type != 'credit' OR greatest(credit_amount, invoice_billed_cost) < 0",
     "only_credits_have_credit": "line_item_type = 'credit' OR credit_amount = 0",
+    "adjustment_reason_present": "length(adjustment_reason) > 0",
 }
 TELEMETRY_IN_ORDER = {
     "synthetic_flag": "is_synthetic", "retry_reason_only_on_retries": "is_final_attempt = (length(ifnull(retry_reason, '')) = 0)",
@@ -35,18 +36,29 @@ TELEMETRY_IN_ORDER = {
     "openai_cached_within_input": "provider != 'openai' OR ifnull(input_tokens, 0) - ifnull(cached_input_tokens, 0) >= 0",
     "openai_has_no_uncached_part": "provider != 'openai' OR ifnull(uncached_input_tokens, 0) = 0",
     "anthropic_has_no_input_total": "provider != 'anthropic' OR (ifnull(input_tokens, 0) = 0 AND ifnull(cached_input_tokens, 0) = 0)",
+    "reasoning_only_on_reasoning_model": "ifnull(reasoning_tokens, 0) <= 0 OR provider || '/' || model = 'openai/chat-large'",
     "success_has_no_failure_stage": "attempt_status != 'success' OR length(ifnull(failure_stage, '')) = 0",
     "failure_has_known_stage": "attempt_status = 'success' OR ifnull(failure_stage, '') IN ('rejected_pre_processing', 'mid_generation_error')",
 }
 
 
-def _sql(feed: str, in_order: dict[str, str], column_set: bool = False) -> str:
+USAGE_WHOLE = {"row_count_in_band": "SELECT if(count(*) = 0 OR count(*) > 546 * 60, 1, 0) FROM raw_usage"}
+COST_WHOLE = {
+    "all_line_types_occur": "SELECT 6 - count(DISTINCT line_item_type) FILTER (WHERE line_item_type IN ('usage', 'credit', 'commitment_true_up', "
+                            "'correction', 'adjustment', 'tax')) FROM raw_cost",
+    "totals_differ": "SELECT count(*) FROM (SELECT sum(provider_reported_cost) AS r, sum(invoice_billed_cost) AS i FROM raw_cost) WHERE round(ifnull(r, 0), 6) = round(ifnull(i, 0), 6)",
+}
+
+
+def _sql(feed: str, in_order: dict[str, str], whole: dict[str, str] | None = None, column_set: bool = False) -> str:
     rows = [f"SELECT '{n}' AS rule, count(*) - count(*) FILTER (WHERE {p}) AS violations FROM {feed}" for n, p in in_order.items()]
+    rows += [f"SELECT '{n}', ({text})" for n, text in (whole or {}).items()]
     if column_set:
         rows.append("SELECT 'column_set', 0")
     return "\nUNION ALL ".join(rows)
 
 
-register_custom("feed_validation_usage", lambda p: V.validate(p.raw_usage, V.USAGE_RULES, V.USAGE_COLUMNS), _sql("raw_usage", USAGE_IN_ORDER, True))
-register_custom("feed_validation_cost", lambda p: V.validate(p.raw_cost, V.COST_RULES), _sql("raw_cost", COST_IN_ORDER))
+register_custom("feed_validation_usage", lambda p: V.validate(p.raw_usage, V.USAGE_RULES, V.USAGE_COLUMNS, V.USAGE_WHOLE),
+                _sql("raw_usage", USAGE_IN_ORDER, USAGE_WHOLE, True))
+register_custom("feed_validation_cost", lambda p: V.validate(p.raw_cost, V.COST_RULES, whole=V.COST_WHOLE), _sql("raw_cost", COST_IN_ORDER, COST_WHOLE))
 register_custom("feed_validation_telemetry", lambda p: V.validate(p.raw_telemetry, V.TELEMETRY_RULES), _sql("raw_telemetry", TELEMETRY_IN_ORDER))

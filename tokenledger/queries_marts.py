@@ -50,7 +50,8 @@ _APP = ["application_cost_id", "financial_source_scope_id"] + MK + [
     ("unallocated_invoice_billed_cost", DEC), "cost_basis_label"]
 
 register("application_cost", "application_cost", _APP)
-register("zero_driver_fallback", "application_cost", _APP,
+register("application_cost_gaps", "application_cost_gaps", _APP)
+register("zero_driver_fallback", "application_cost_gaps", _APP,
          where="allocation_method = 'no_eligible_driver'",
          spark_filter=lambda: F.col("allocation_method") == "no_eligible_driver")
 register("scope_retained_lines", "application_cost", _APP,
