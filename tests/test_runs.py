@@ -168,3 +168,17 @@ def test_every_layer_belongs_to_a_stage():
     assert sorted(n for s in D.STAGES.values() for n in s) == sorted(D.LAYERS)
     with pytest.raises(ValueError):
         D.Deployment(Pipeline(None, SF), "x", on_fail="ignore")
+
+
+def test_shared_models_are_derived_once(spark):
+    import __spark_entry__ as E
+    from tokenledger.plans import pipeline as P
+    plans = {}
+    for name in ("application_cost", "experiment_governance"):
+        df = E.queries()[name](spark, SF)
+        plans[name] = df._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+        assert "lineitem.parquet" not in plans[name] and plans[name].count("FileScan") == 1
+    shared = P.pipeline(spark, SF, sharing=True)
+    assert shared is P.pipeline(spark, SF + "/", sharing=True) and shared.shared_base
+    assert shared.cost_reconciliation is shared.cost_reconciliation
+    assert P.input_version(spark, SF) != P.input_version(spark, SF.replace("0.001", "0.01"))

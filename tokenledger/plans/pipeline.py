@@ -19,10 +19,27 @@ from tokenledger.plans import core, marts, semantic, staging
 from tokenledger.sources import feeds
 
 
+def shared(fn):
+    """A model that several others start from.  In a sharing pipeline it is written once, when
+    first asked for, and read back: no query then derives it twice."""
+    def build(self: Pipeline) -> DataFrame:
+        df = fn(self)
+        return self._keep(fn.__name__, df) if self.shared_base else df
+
+    build.__doc__ = fn.__doc__
+    return cached_property(build)
+
+
 class Pipeline:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, shared_base: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.shared_base = shared_base
+
+    def _keep(self, name: str, df: DataFrame) -> DataFrame:
+        path = f"{self.shared_base}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -56,7 +73,7 @@ class Pipeline:
     def experiment_decision(self) -> DataFrame:
         return feeds.experiment_decision(self.spark)
 
-    @cached_property
+    @shared
     def raw_usage(self) -> DataFrame:
         return feeds.provider_usage(self.line_base)
 
@@ -64,7 +81,7 @@ class Pipeline:
     def raw_telemetry(self) -> DataFrame:
         return feeds.request_telemetry(self.line_base, self.model_map, self.rate_card)
 
-    @cached_property
+    @shared
     def raw_cost(self) -> DataFrame:
         return feeds.usage_cost_lines(self.usage_cost_monthly).unionByName(
             feeds.non_usage_cost_lines(self.table("orders")))
@@ -74,7 +91,7 @@ class Pipeline:
     def usage_normalized(self) -> DataFrame:
         return staging.usage_normalized(self.raw_usage, self.model_map, self.service_tier_map)
 
-    @cached_property
+    @shared
     def usage_priced(self) -> DataFrame:
         return staging.usage_priced(self.usage_normalized, self.rate_card)
 
@@ -82,41 +99,41 @@ class Pipeline:
     def provider_cost_stg(self) -> DataFrame:
         return staging.provider_cost(self.raw_cost)
 
-    @cached_property
+    @shared
     def telemetry_stg(self) -> DataFrame:
         return staging.request_telemetry(self.raw_telemetry)
 
     # ---- core --------------------------------------------------------------
-    @cached_property
+    @shared
     def usage_cost_monthly(self) -> DataFrame:
         return core.usage_cost_monthly(self.usage_priced)
 
-    @cached_property
+    @shared
     def cost_reconciliation(self) -> DataFrame:
         return core.cost_reconciliation(self.provider_cost_stg, self.usage_cost_monthly)
 
-    @cached_property
+    @shared
     def usage_daily(self) -> DataFrame:
         return core.usage_daily_allocation(self.usage_priced, self.bridge)
 
-    @cached_property
+    @shared
     def app_driver_monthly(self) -> DataFrame:
         return core.application_invoice_driver_monthly(self.usage_daily)
 
-    @cached_property
+    @shared
     def telemetry_recon_daily(self) -> DataFrame:
         return core.telemetry_reconciliation_daily(self.usage_priced, self.telemetry_stg)
 
     # ---- marts -------------------------------------------------------------
-    @cached_property
+    @shared
     def telemetry_coverage_monthly(self) -> DataFrame:
         return marts.telemetry_coverage_monthly(self.telemetry_recon_daily)
 
-    @cached_property
+    @shared
     def token_economics(self) -> DataFrame:
         return marts.token_economics(self.usage_priced, self.rate_card, self.telemetry_stg)
 
-    @cached_property
+    @shared
     def application_cost(self) -> DataFrame:
         return marts.application_cost(self.cost_reconciliation, self.app_driver_monthly)
 
@@ -130,29 +147,29 @@ class Pipeline:
         turned = F.when((provider == "anthropic") & (month == 7), -cost).otherwise(cost).cast(d.schema["driver_usage_cost_estimate"].dataType)
         return marts.application_cost(self.cost_reconciliation, d.withColumn("driver_usage_cost_estimate", turned))
 
-    @cached_property
+    @shared
     def optimization(self) -> DataFrame:
         return marts.optimization(self.token_economics, self.telemetry_coverage_monthly)
 
-    @cached_property
+    @shared
     def unit_economics(self) -> DataFrame:
         return marts.unit_economics(self.token_economics, self.cost_reconciliation,
                                     self.telemetry_coverage_monthly)
 
-    @cached_property
+    @shared
     def experiment_driver_daily(self) -> DataFrame:
         return marts.experiment_driver_daily(self.telemetry_stg, self.cost_reconciliation,
                                              self.telemetry_coverage_monthly)
 
-    @cached_property
+    @shared
     def experiment_daily(self) -> DataFrame:
         return marts.experiment_daily(self.experiment_control, self.experiment_driver_daily)
 
-    @cached_property
+    @shared
     def experiment_periods(self) -> DataFrame:
         return marts.experiment_periods(self.experiment_daily)
 
-    @cached_property
+    @shared
     def experiments(self) -> DataFrame:
         return marts.experiment_governance(self.experiment_periods, self.experiment_decision)
 
@@ -177,11 +194,11 @@ class Pipeline:
     def dim_experiment(self) -> DataFrame:
         return semantic.dim_experiment(self.experiment_control)
 
-    @cached_property
+    @shared
     def fact_financial_monthly(self) -> DataFrame:
         return semantic.fact_financial_monthly(self.application_cost)
 
-    @cached_property
+    @shared
     def fact_usage_monthly(self) -> DataFrame:
         return semantic.fact_usage_monthly(self.token_economics)
 
@@ -189,7 +206,7 @@ class Pipeline:
     def fact_unit_economics_monthly(self) -> DataFrame:
         return semantic.fact_unit_economics_monthly(self.unit_economics)
 
-    @cached_property
+    @shared
     def fact_optimization_monthly(self) -> DataFrame:
         return semantic.fact_optimization_monthly(self.optimization)
 
@@ -266,16 +283,42 @@ class Pipeline:
 #: Run ids and scheduled times of the runs behind the registered queries.
 RUN_1, RUN_2 = ("run-1", dt.datetime(2026, 7, 1)), ("run-2", dt.datetime(2026, 7, 2))
 
-_CACHE: dict[tuple[str, str, bool], Pipeline] = {}
+_CACHE: dict[tuple[str, ...], Pipeline] = {}
+
+
+def input_version(spark: SparkSession, sf_dir: str) -> str:
+    """A digest of the input files' names, sizes and times: other contents, other version."""
+    import hashlib
 
+    from tokenledger.runs.store import files
+    return hashlib.sha256(repr(files(spark, f"{sf_dir}/lineitem.parquet") + files(spark, f"{sf_dir}/orders.parquet")).encode()).hexdigest()[:16]
 
-def pipeline(spark: SparkSession, sf_dir: str, materialized: bool = False) -> Pipeline:
-    """Pipeline for one input folder (one per session).  ``materialized``
-    returns a pipeline whose model layers were written once and read back."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), materialized)
+
+def pipeline(spark: SparkSession, sf_dir: str, materialized: bool = False, sharing: bool = False) -> Pipeline:
+    """Pipeline for one version of an input folder, one per session and kind.  ``materialized``
+    returns a deployed pipeline (all layers written and audited), ``sharing`` one that writes a
+    shared model when a query first needs it, keyed by model and input version."""
+    from tokenledger.session import checkpoint_dir
+    sf_dir = sf_dir.rstrip("/")
+    kind = "deployed" if materialized else "shared" if sharing else "plain"
+    key = (spark.sparkContext.applicationId, sf_dir, kind, input_version(spark, sf_dir))
     if key not in _CACHE:
-        p = Pipeline(spark, sf_dir)
+        base = f"{checkpoint_dir(spark).rstrip('/')}/shared-{uuid.uuid4().hex[:12]}/{key[3]}" if kind == "shared" else None
+        p = Pipeline(spark, sf_dir, base)
         if materialized:
             p.materialize(run_id=RUN_1[0], clock=lambda: RUN_1[1])
         _CACHE[key] = p
     return _CACHE[key]
+
+
+def release(spark: SparkSession) -> int:
+    """Forgets this session's pipelines and deletes what they wrote; results made from them
+    must have been read.  Returns how many were dropped."""
+    from tokenledger.runs.store import remove_folder
+    mine = [k for k in _CACHE if k[0] == spark.sparkContext.applicationId]
+    for key in mine:
+        p = _CACHE.pop(key)
+        for base in (p.shared_base, p.deployment.base if p.deployment else None):
+            if base:
+                remove_folder(spark, base)
+    return len(mine)

@@ -27,7 +27,8 @@ class Query:
     name: str
     build: Callable[[Pipeline], DataFrame]
     sql: str | None
-    layered: bool = False  # runs on written model layers (wide plans)
+    layered: bool = False  # runs on deployed, audited layers and their logs
+    shared: bool = False  # starts from shared models, written once a session
 
 
 REGISTRY: dict[str, Query] = {}
@@ -56,7 +57,7 @@ def spec_sql(spec) -> str:
 
 
 def register(name: str, model: str, spec, where: str | None = None, sql_model: str | None = None,
-             spark_filter=None, layered: bool = False):
+             spark_filter=None, layered: bool = False, shared: bool = False):
     """Register a projection of a pipeline model."""
     def build(p: Pipeline) -> DataFrame:
         df = getattr(p, model)
@@ -64,12 +65,12 @@ def register(name: str, model: str, spec, where: str | None = None, sql_model: s
             df = df.filter(spark_filter())
         return df.select(*spec_spark(spec))
     sql = f"SELECT {spec_sql(spec)} FROM {sql_model or model}" + (f" WHERE {where}" if where else "")
-    REGISTRY[name] = Query(name, build, compose(sql), layered)
+    REGISTRY[name] = Query(name, build, compose(sql), layered, shared)
 
 
 def register_custom(name: str, build: Callable[[Pipeline], DataFrame], sql: str | None,
-                    layered: bool = False):
-    REGISTRY[name] = Query(name, build, compose(sql) if sql else None, layered)
+                    layered: bool = False, shared: bool = False):
+    REGISTRY[name] = Query(name, build, compose(sql) if sql else None, layered, shared)
 
 
 # ---------------------------------------------------------------------------

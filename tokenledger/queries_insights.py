@@ -3,9 +3,13 @@ context up by a subquery over the fact instead of grouping sets and joins."""
 
 from __future__ import annotations
 
+from functools import partial
+
 from tokenledger.oracle.sqlfn import dbl
 from tokenledger.plans import insights as I
-from tokenledger.queries import register_custom
+from tokenledger.queries import register_custom as _register_custom
+
+register_custom = partial(_register_custom, shared=True)  # these start from models that others use too
 
 FIN, OPT = "fact_financial_monthly", "fact_optimization_monthly"
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
-from tokenledger.queries import DEC, register
+from tokenledger.queries import DEC, register as _register
+
+register = partial(_register, shared=True)  # these start from models that others use too
 
 MK = ["billing_month", "provider", "provider_project_id", "model"]
 TEK = MK + ["model_snapshot", "usage_type"]

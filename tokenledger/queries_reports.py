@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from tokenledger.plans import reports as R
-from tokenledger.queries import register_custom
+from tokenledger.queries import register_custom as _register_custom
+
+register_custom = partial(_register_custom, shared=True)  # these start from models that others use too
 
 FIN = "fact_financial_monthly"
 USE = "fact_usage_monthly"

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from tokenledger.plans.semantic import (EXP_CURRENT_COLS, FIN_KEYS, OPT_FACT_COLS, UNIT_FACT_COLS,
                                         USAGE_FACT_COLS)
-from tokenledger.queries import DEC, register
+from tokenledger.queries import DEC, register as _register
+
+register = partial(_register, shared=True)  # these start from models that others use too
 
 _MONEYISH = {"usage_cost_estimate", "provider_reported_cost", "invoice_billed_cost", "allocated_invoice_billed_cost",
              "unallocated_invoice_billed_cost", "distributed_request_count", "distributed_total_input_tokens",

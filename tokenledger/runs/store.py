@@ -38,6 +38,17 @@ def folders(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(x.getPath().toString() for x in found or [])
 
 
+def files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, time) of a table's files: one file, or those of a folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target) or []
+    out = []
+    for f in found:
+        inner = f.getPath().getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(f.getPath()) if f.isDirectory() else [f]
+        out += [(x.getPath().toString(), x.getLen(), x.getModificationTime()) for x in inner]
+    return sorted(out)
+
+
 def latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row of each key with the greatest ``order`` columns (G30): one hash aggregation,
     partial in each task, without sorting a key's history."""
