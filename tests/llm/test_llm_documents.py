@@ -2,10 +2,12 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tokenledger.llm.components import connected_components
@@ -336,3 +338,68 @@ def test_license_scan(corpus, spark, nothing):
     plain = {r["doc_id"] for r in corpus.filter("text rlike 'icensed under|Released under the'").collect()}
     assert {r["doc_id"] for r in scan_licenses(corpus).collect()} == plain
     assert scan_licenses(nothing).count() == 0
+
+
+def near_copies(n, changes, words=120, seed=3):
+    """Copies of one text, each with a few words of its own."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(words)]
+    out = []
+    for d in range(n):
+        t = list(base)
+        for k in rng.sample(range(words), rng.choice(changes)):
+            t[k] = f"c{d}x{k}"
+        out.append(t)
+    return out
+
+
+def shingles(t):
+    return {tuple(t[i: i + 5]) for i in range(len(t) - 4)}
+
+
+def test_tree_candidates_of_near_copies_that_do_not_link():
+    """The bound on the overlap leaves few of all pairs and loses no link."""
+    import pyarrow as pa
+
+    from tokenledger.llm import jaccard as j
+    from tokenledger.llm import tokens as tk
+    from tokenledger.llm.chunks import pack_counts
+    sizes = {}
+    for n in (100, 400):
+        docs = near_copies(n, (3, 4))
+        sets = [np.unique(np.array([hash(x) & (2**64 - 1) for x in shingles(t)], tk.U64)) for t in docs]
+        common = np.unique(np.concatenate([s[:30] for s in sets]))
+        own = [np.intersect1d(s, common) for s in sets]
+        keys = np.concatenate(own)
+        who = np.repeat(np.arange(n), [len(x) for x in own])
+        order = np.argsort(keys, kind="stable")
+        cls = np.arange(n, dtype=np.int64) + 10
+        t = pa.table({"bucket": [0], "x": [0], "y": [0], "part": [0], "keys": [tk.pack_sorted(keys[order])], "who": [pack_counts(who[order])],
+                      "class": [cls.tobytes()], "size": [pack_counts(np.array([len(s) for s in sets]))], "component": [cls.tobytes()],
+                      "sign": [b"".join(j.sign_of(s) for s in sets)]})
+        got = {(a - 10, b - 10) for a, b in zip(*[j.tree_pairs(t, 75).column(c).to_pylist() for c in "ab"])}
+        links = {(a, b) for a in range(n) for b in range(a + 1, n)
+                 if 175 * len(np.intersect1d(sets[a], sets[b])) >= 75 * (len(sets[a]) + len(sets[b]))}
+        assert links <= got
+        sizes[n] = len(got), len(links), n * (n - 1) // 2
+    assert sizes[400][0] < 0.05 * sizes[400][2], sizes
+
+
+def test_wide_bitmaps_bound_large_sets():
+    from tokenledger.llm import jaccard as j
+    from tokenledger.llm import tokens as tk
+    rng = np.random.default_rng(5)
+    a = np.unique(rng.integers(0, 2**63, 6000).astype(tk.U64))
+    b = np.concatenate([a[:4000], np.unique(rng.integers(0, 2**63, 2000).astype(tk.U64))])
+    c = np.concatenate([a[:5600], b[4000:4300]])
+    sets = [a, b, c, a[:100]]
+    signs, size = [j.sign_of(np.sort(s)) for s in sets], np.array([len(s) for s in sets])
+    i, k = np.array([0, 0, 1, 3]), np.array([1, 2, 2, 3])
+    assert j.within_reach(i, k, size, signs, 75).tolist() == [False, True, False, True]
+    assert (j.folded(signs[0], 1024) == j.folded(j.sign_of(a[:1]), 1024)).sum() < 16  # a fold keeps every bit
+    assert j.sign_bits([1, 512, 513]).tolist() == [1024, 1024, 2048]
+
+
+def test_jaccard_join_of_many_near_copies(spark):
+    docs = [(i, " ".join(t)) for i, t in enumerate(near_copies(150, (2, 3, 4), seed=8))]
+    check_components(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
