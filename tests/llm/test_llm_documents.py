@@ -364,25 +364,34 @@ def test_tree_candidates_of_near_copies_that_do_not_link():
     from tokenledger.llm import jaccard as j
     from tokenledger.llm import tokens as tk
     from tokenledger.llm.chunks import pack_counts
-    sizes = {}
-    for n in (100, 400):
-        docs = near_copies(n, (3, 4))
-        sets = [np.unique(np.array([hash(x) & (2**64 - 1) for x in shingles(t)], tk.U64)) for t in docs]
-        common = np.unique(np.concatenate([s[:30] for s in sets]))
-        own = [np.intersect1d(s, common) for s in sets]
-        keys = np.concatenate(own)
-        who = np.repeat(np.arange(n), [len(x) for x in own])
-        order = np.argsort(keys, kind="stable")
-        cls = np.arange(n, dtype=np.int64) + 10
-        t = pa.table({"bucket": [0], "x": [0], "y": [0], "part": [0], "keys": [tk.pack_sorted(keys[order])], "who": [pack_counts(who[order])],
-                      "class": [cls.tobytes()], "size": [pack_counts(np.array([len(s) for s in sets]))], "component": [cls.tobytes()],
-                      "sign": [b"".join(j.sign_of(s) for s in sets)]})
-        got = {(a - 10, b - 10) for a, b in zip(*[j.tree_pairs(t, 75).column(c).to_pylist() for c in "ab"])}
-        links = {(a, b) for a in range(n) for b in range(a + 1, n)
-                 if 175 * len(np.intersect1d(sets[a], sets[b])) >= 75 * (len(sets[a]) + len(sets[b]))}
-        assert links <= got
-        sizes[n] = len(got), len(links), n * (n - 1) // 2
-    assert sizes[400][0] < 0.05 * sizes[400][2], sizes
+    n = 400
+    docs = near_copies(n, (3, 4))
+    sets = [np.unique(np.array([hash(x) & (2**64 - 1) for x in shingles(t)], tk.U64)) for t in docs]
+    size = np.array([len(s) for s in sets])
+    one = np.ones((n, j.WORDS), tk.U64)  # all share a prefix bit
+    levels = j.build_tree(one, np.stack([j.folded(j.sign_of(s), j.TREE_BITS) for s in sets]), size, np.arange(n), np.full(n, -1))
+    got = {(x, y) for a, b in j.dual_traversal(levels, 75) for x, y in zip(a.tolist(), b.tolist())}
+    links = {(a, b) for a in range(n) for b in range(a + 1, n) if 175 * j.overlap(sets[a], sets[b]) >= 75 * (size[a] + size[b])}
+    assert links <= got and len(got) < 0.05 * n * (n - 1) / 2
+    common = np.unique(np.concatenate([s[:30] for s in sets]))
+    own = [np.intersect1d(s, common) for s in sets]
+    keys, who = np.concatenate(own), np.repeat(np.arange(n), [len(x) for x in own])
+    order, cls = np.argsort(keys, kind="stable"), np.arange(n, dtype=np.int64) + 10
+    t = pa.table({"bucket": [0], "x": [0], "y": [0], "part": [0], "keys": [tk.pack_sorted(keys[order])], "who": [pack_counts(who[order])],
+                  "class": [cls.tobytes()], "size": [pack_counts(size)], "component": [cls.tobytes()], "sets": [b"".join(s.tobytes() for s in sets)]})
+    found = [(a - 10, b - 10) for a, b in zip(*[j.tree_links(t, 75).column(c).to_pylist() for c in "ab"])]
+    assert set(found) <= links and len(found) < n  # a forest, and the same components as all links
+
+    def components(edges):
+        label = list(range(n))
+        for _ in range(n):
+            before = list(label)
+            for a, b in edges:
+                label[a] = label[b] = min(label[a], label[b])
+            if label == before:
+                return label
+
+    assert components(found) == components(links)
 
 
 def test_wide_bitmaps_bound_large_sets():
