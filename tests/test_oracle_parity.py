@@ -41,7 +41,7 @@ def con():
     return c
 
 
-QUERIES = sorted(E.oracle_sql())
+QUERIES = sorted(all_queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)
