@@ -174,3 +174,16 @@ def test_audit_of_empty_and_extra_columns(spark, nothing):
     odd = spark.createDataFrame([("b", "x", "en", 1, 2), ("a", "x", "en", 1, 2)], "doc_id string, text string, lang string, id int, mask int")
     got = result(audit_filters(odd, spark.createDataFrame([("b", 1, 0)], "doc_id string, quality int, toxic int")))
     assert got["en", "EABCD", 1] == [1, 1, 0, 0, 1, 0, 60]
+
+
+def test_audit_matches_its_sql(spark):
+    import duckdb
+
+    from tokenledger.llm.queries import op13_filter_audit, oracle_sql
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"create view {t} as select * from '/root/testdata/sf0.001/{t}.parquet'")
+    res = con.execute(oracle_sql()["op13_filter_audit"])
+    names = [d[0] for d in res.description]
+    want = sorted(res.fetchall())
+    assert sorted(map(tuple, op13_filter_audit(spark, "/root/testdata/sf0.001").select(*names).collect())) == want
