@@ -120,7 +120,7 @@ def all_segmentations(p, text):
 def test_draws_follow_the_lattice(pieces):
     text, n = "thing a", 6000
     chance = all_segmentations(pieces, text)
-    out, _ = sentences.sample_block(pieces, [text] * n, tk.mix(np.arange(n).astype(tk.U64)), 2)
+    out, _ = sentences.sample_block(sentences.Lattices(pieces), [text] * n, tk.mix(np.arange(n).astype(tk.U64)), 2)
     first = Counter(tuple(int(x) for x in d[0][0]) for d in out)
     both = Counter(tuple(int(x) for x in y[0]) for d in out for y in d)
     for s, q in chance.items():
@@ -134,7 +134,7 @@ def test_draws_follow_the_lattice(pieces):
 
 def test_draws_are_all_segmentations_of_a_short_text(pieces):
     chance = all_segmentations(pieces, "cat")
-    out, rest = sentences.sample_block(pieces, ["cat"], np.array([5], tk.U64), 50)
+    out, rest = sentences.sample_block(sentences.Lattices(pieces), ["cat"], np.array([5], tk.U64), 50)
     assert {tuple(int(x) for x in d[0]) for d in out[0]} == set(chance) and rest[0] == -math.inf
     assert [d[2] for d in out[0]] == sorted((d[2] for d in out[0]), reverse=True)
 
@@ -143,7 +143,7 @@ def test_draws_are_all_segmentations_of_a_short_text(pieces):
 @given(st.lists(st.text(alphabet=" a\tthe\n▁漢é\U0001F600\x00", max_size=25), min_size=1, max_size=4))
 def test_round_trip(rows):
     p = _pieces()
-    out, _ = sentences.sample_block(p, rows, tk.mix(np.arange(len(rows)).astype(tk.U64)), 3)
+    out, _ = sentences.sample_block(sentences.Lattices(p), rows, tk.mix(np.arange(len(rows)).astype(tk.U64)), 3)
     for t, draws in zip(rows, out):
         assert all(sentences.decode(p, d[0].tolist()) == t for d in draws)
         assert len({tuple(d[0]) for d in draws}) == len(draws)
@@ -158,6 +158,31 @@ def _pieces():
     return _kept[0]
 
 
+def test_draws_do_not_depend_on_kept_lattices(pieces):
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdeé日 \n"), 9)) for _ in range(300)]
+    blocks = [[" ".join(rng.choice(words, 40)) for _ in range(5)] + ["", None] for _ in range(6)]
+    seeds = tk.mix(np.arange(7).astype(tk.U64))
+
+    def drawn(lattices):
+        return [[[(d[0].tolist(), d[1], d[2]) for d in found] for found in sentences.sample_block(lat, b, seeds, 3)[0]] for lat, b in zip(lattices, blocks)]
+
+    one = sentences.Lattices(pieces)
+    kept = drawn([one] * len(blocks))
+    assert len(one.hashes) > 50  # recurring units stayed
+    some = sentences.Lattices(pieces, keep=20_000)
+    assert drawn([some] * len(blocks)) == drawn([sentences.Lattices(pieces) for _ in blocks]) == kept
+    assert 0 < len(some.hashes) < len(one.hashes)
+
+
+def test_round_trips_are_read_from_the_pieces(pieces):
+    texts = ["a cat", None, "", "日本 x"]
+    out, _ = sentences.sample_block(sentences.Lattices(pieces), texts, tk.mix(np.arange(4).astype(tk.U64)), 1)
+    draws = [(i, d[0][0] if d else np.zeros(0, np.int64)) for i, d in enumerate(out)]
+    assert sentences.round_trips(pieces, texts, draws) == [True] * 4
+    assert sentences.round_trips(pieces, texts, [(0, draws[3][1]), (1, draws[0][1]), (0, draws[0][1][:-1]), (2, draws[2][1])]) == [False, False, False, True]
+
+
 def test_sample_segmentations(corpus, nothing, pieces):
     out = sentences.sample_segmentations(corpus.repartition(3), pieces, k=2)
     got = sorted(map(repr, sentences.decode_segmentations(out, pieces).collect()))
