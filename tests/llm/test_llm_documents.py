@@ -378,7 +378,7 @@ def test_tree_candidates_of_near_copies_that_do_not_link():
     keys, who = np.concatenate(own), np.repeat(np.arange(n), [len(x) for x in own])
     order, cls = np.argsort(keys, kind="stable"), np.arange(n, dtype=np.int64) + 10
     t = pa.table({"bucket": [0], "x": [0], "y": [0], "part": [0], "keys": [tk.pack_sorted(keys[order])], "who": [pack_counts(who[order])],
-                  "class": [cls.tobytes()], "size": [pack_counts(size)], "component": [cls.tobytes()], "sets": [b"".join(s.tobytes() for s in sets)]})
+                  "class": [cls.tobytes()], "size": [pack_counts(size)], "component": [cls.tobytes()], "sets": [j.pack_sets([j.narrow(s, 0) for s in sets])]})
     found = [(a - 10, b - 10) for a, b in zip(*[j.tree_links(t, 75).column(c).to_pylist() for c in "ab"])]
     assert set(found) <= links and len(found) < n  # a forest, and the same components as all links
 
@@ -412,3 +412,25 @@ def test_wide_bitmaps_bound_large_sets():
 def test_jaccard_join_of_many_near_copies(spark):
     docs = [(i, " ".join(t)) for i, t in enumerate(near_copies(150, (2, 3, 4), seed=8))]
     check_components(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+
+
+def test_narrow_sets_lose_no_overlap():
+    from tokenledger.llm import jaccard as j
+    from tokenledger.llm import tokens as tk
+    rng = np.random.default_rng(9)
+    a, b = (np.unique(rng.integers(0, 2**63, n).astype(tk.U64) * tk.U64(2)) for n in (900, 700))
+    b = np.union1d(b, a[:300])
+    for turn, width in ((0, 32), (0, 7), (1, 32)):
+        short = [j.narrow(x, turn, width) for x in (a, b, a[:0])]
+        again = j.unpack_sets(j.pack_sets(short), np.array([len(x) for x in short]))
+        assert [x.tolist() for x in again] == [x.tolist() for x in short]
+        assert j.overlap(again[0], again[1]) >= j.overlap(a, b) == 300
+    assert j.overlap(*[j.narrow(x, 0) for x in (a, b)]) == 300
+
+
+def test_jaccard_join_when_narrow_hashes_collide(spark):
+    docs = [(i, " ".join(t)) for i, t in enumerate(near_copies(60, (2, 3, 4), seed=4))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for width in (3, 8):  # nearly all first pairs are no links
+        got = jaccard_components(df, width=width).collect()
+        assert Counter((x["doc_id"], x["n_shingles"], x["component_id"]) for x in got) == brute_components(rows(df), 5, 75)
