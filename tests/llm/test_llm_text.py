@@ -78,6 +78,45 @@ def test_html_text_rules(model):
     assert [b.text for b in htmltext.page_blocks("a < b <p title='x>y'>c</p></div> d <style>")] == ["a < b", "c", "d"]
 
 
+def test_unclosed_media_and_formulas_lose_no_text():
+    def texts(page):
+        return [b.text for b in htmltext.page_blocks(page)]
+
+    assert texts("<p>First.</p><video src=a><p>Second.</p>") == ["First.", "Second."]
+    for tag in sorted(htmltext.HIDDEN_TAGS):
+        assert texts(f"<p>One <{tag}><p>gone</p></{tag}> two</p><p>Three</p>") == ["One two", "Three"]
+        assert texts(f"<div><p>One</p><{tag} a=b><p>two</p></div><p>Three <{tag}>gone</{tag}></p>") == ["One", "two", "Three"]
+        assert texts(f"<{tag}><{tag}>gone</{tag}>gone</{tag}>kept</{tag}>") == ["kept"]
+    assert texts("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x = 2</annotation></math> be</p>") == ["Let x=2 be"]
+    assert texts("<p>&lt<b>; b</b> &am<i>p;</i> &amp;</p>") == ["<; b &amp; &"]
+    assert texts("a<script>b<p>c") == ["a"] and texts("<p>a<title/>b") == ["ab"]
+
+
+def test_deeply_nested_page_is_read_in_linear_time():
+    import time
+
+    page = "<article>" + "<span>x " * 60_000 + "</em>" * 60_000 + "<video>" * 60_000 + "<p>end</p></article>"
+    began = time.perf_counter()
+    blocks = htmltext.page_blocks(page)
+    assert time.perf_counter() - began < 20
+    assert [len(b.text) for b in blocks] == [119_999, 3]
+
+
+def brute_decode(model, feats):
+    import itertools
+
+    def score(y):
+        return sum(model.emission(*f) for f, k in zip(feats, y) if k) + sum(model.step[a, b] for a, b in zip(y, y[1:]))
+    return max(map(score, itertools.product((0, 1), repeat=len(feats)))), score(model.decode(feats))
+
+
+def test_viterbi_against_all_labellings(model):
+    for page in htmltext.labelled_pages(20, 99):
+        _, feats, _ = htmltext.labels_and_clean(page)
+        best, got = brute_decode(model, feats[:11])
+        assert abs(best - got) < 1e-9
+
+
 def test_html_extraction(spark, model):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     out = htmltext.extract_main_text(pages, model).collect()

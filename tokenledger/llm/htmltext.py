@@ -7,9 +7,13 @@ It is trained on labelled pages drawn from a small grammar of page layouts (``la
 their number is a parameter, so training is bounded), by gradient ascent on the exact
 conditional log-likelihood.
 
-Text rules: character references are decoded, white space inside a block (line breaks
-included) becomes one blank, blocks are trimmed and joined in page order by an empty line.
-Contents of script, style and similar elements, comments and markup are no text.
+Text rules: character references are decoded (each in its own piece of text, so a tag ends
+one), white space inside a block (line breaks included) becomes one blank, blocks are trimmed
+and joined in page order by an empty line.  Contents of script, style, title, textarea and
+iframe (up to their end tag, else to the end of the page), comments and markup are no text.
+Media, svg, noscript and template elements hide their contents up to their own end tag; one
+that its parent or the page ends first hides nothing, so no text is lost.  Formulas (math) are
+text, without their annotations.
 
 Defined cases: null or empty html gives the empty text; a page without text blocks too;
 unclosed, stray and badly nested tags are read as browsers do (an end tag closes up to its
@@ -22,6 +26,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -37,7 +42,8 @@ BLOCK_TAGS = frozenset(
     "form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li main menu nav ol optgroup option p pre search section "
     "select summary table tbody td tfoot th thead tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN_TAGS = frozenset("script style title noscript template textarea iframe svg math object video audio canvas".split())
+RAW_TAGS = frozenset("script style title textarea iframe".split())
+HIDDEN_TAGS = frozenset("noscript template svg object video audio canvas annotation annotation-xml".split())
 #: A start tag of the key closes an open element of the value (up to the nearest of SCOPE).
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}} | {x: {"p"} for x in BLOCK_TAGS - {"li", "dt", "dd", "tr", "td", "th", "option", "body", "html", "head", "label", "button", "caption"}}
@@ -48,6 +54,7 @@ TELLING = frozenset("article main aside nav header footer form".split())
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
+RAW_END = {x: re.compile(rf"</{x}(?=[\s/>])[^>]*>", re.I) for x in RAW_TAGS}
 ATTRIBUTE = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 NAME_PART = re.compile(r"[a-z]+")
 
@@ -60,17 +67,64 @@ class Block:
     inline: frozenset[str]
 
 
+def page_tags(page: str) -> list[tuple[int, int, str | None, bool, str]]:
+    """(start, end, name, closing, attributes) of the tags in page order; name None: a comment, a
+    declaration, or a raw element with its contents."""
+    out, pos, n = [], 0, len(page)
+    while pos < n:
+        m = TOKEN.search(page, pos)
+        if m is None:
+            break
+        pos = m.end()
+        name = m[2] or m[5]
+        tag, close, rest = name.lower() if name else None, bool(m[1] or m[4]), m[3] or m[6] or ""
+        if tag in RAW_TAGS and not close:
+            if not rest.endswith("/"):
+                end = RAW_END[tag].search(page, pos)
+                pos = end.end() if end else n
+            tag = None
+        out.append((m.start(), pos, tag, close, rest))
+    return out
+
+
+def hidden_spans(tags: list[tuple[int, int, str | None, bool, str]]) -> dict[int, int]:
+    """Tag number -> number of its end tag, of the hidden elements that are closed by their own end
+    tag.  One that its parent or the page ends first was left open by mistake and hides nothing."""
+    spans: dict[int, int] = {}
+    if not any(x[2] in HIDDEN_TAGS for x in tags):
+        return spans
+    stack: list[tuple[str, int]] = []
+    opened: Counter[str] = Counter()
+    for i, (_, _, tag, close, rest) in enumerate(tags):
+        if tag is None or tag in VOID_TAGS:
+            continue
+        if not close:
+            if not rest.endswith("/"):
+                stack.append((tag, i))
+                opened[tag] += 1
+        elif opened[tag]:
+            top, at = stack.pop()
+            opened[top] -= 1
+            while top != tag:
+                top, at = stack.pop()
+                opened[top] -= 1
+            if tag in HIDDEN_TAGS:
+                spans[at] = i
+    return spans
+
+
 def page_blocks(page: str) -> list[Block]:
     """Leaf blocks in page order."""
     out: list[Block] = []
     stack: list[tuple[str, str]] = []          # (tag, "tag word word")
+    opened: Counter[str] = Counter()           # the tags on the stack
     parts: list[str] = []
-    links, inline, in_link, pos, n = 0, set(), 0, 0, len(page)
+    links, inline, pos, n = 0, set(), 0, len(page)
 
     def flush() -> None:
         nonlocal links
         if parts:
-            text = " ".join(entities.unescape("".join(parts)).split())
+            text = " ".join("".join(parts).split())
             if text:
                 out.append(Block(text, tuple(x[1] for x in stack if x[0] in BLOCK_TAGS), links, frozenset(inline)))
             parts.clear()
@@ -80,49 +134,49 @@ def page_blocks(page: str) -> list[Block]:
     def say(a: int, b: int) -> None:
         nonlocal links
         if a < b:
-            parts.append(page[a:b])
-            if in_link:
+            parts.append(entities.unescape(page[a:b]))  # a reference ends with its piece of text
+            if opened["a"]:
                 links += b - a
-            inline.update(x[0] for x in stack if x[0] not in BLOCK_TAGS)
-
-    while pos < n:
-        m = TOKEN.search(page, pos)
-        if m is None:
-            say(pos, n)
-            break
-        say(pos, m.start())
-        pos = m.end()
-        name = m[2] or m[5]
-        if name is None:
+            inline.update(x for x, k in opened.items() if k and x not in BLOCK_TAGS)
+
+    def leave(at: int) -> None:
+        for x in stack[at:]:
+            opened[x[0]] -= 1
+        del stack[at:]
+
+    tags = page_tags(page)
+    hidden = hidden_spans(tags)
+    i = 0
+    while i < len(tags):
+        start, end, tag, close, rest = tags[i]
+        say(pos, start)
+        pos, here, i = end, i, i + 1
+        if tag is None:
             continue
-        tag, close, rest = name.lower(), m[1] or m[4], m[3] or m[6] or ""
         if close:
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if at is None:
+            if not opened[tag]:
                 if tag in BLOCK_TAGS:
                     flush()
                 continue
-            gone = stack[at:]
-            if any(x[0] in BLOCK_TAGS for x in gone):
+            at = next(j for j in range(len(stack) - 1, -1, -1) if stack[j][0] == tag)
+            if any(x[0] in BLOCK_TAGS for x in stack[at:]):
                 flush()
-            in_link -= sum(x[0] == "a" for x in gone)
-            del stack[at:]
+            leave(at)
             continue
         if tag in HIDDEN_TAGS:
-            if not rest.endswith("/"):
-                end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(page, pos)
-                pos = end.end() if end else n
+            if here in hidden:
+                i = hidden[here] + 1
+                pos = tags[i - 1][1]
             continue
         if tag in BLOCK_TAGS:
             flush()
             closing = CLOSES.get(tag)
             if closing:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in closing:
-                        in_link -= sum(x[0] == "a" for x in stack[i:])
-                        del stack[i:]
+                for j in range(len(stack) - 1, -1, -1):
+                    if stack[j][0] in closing:
+                        leave(j)
                         break
-                    if stack[i][0] in SCOPE:
+                    if stack[j][0] in SCOPE:
                         break
         if tag in VOID_TAGS:
             if tag == "br":
@@ -135,7 +189,8 @@ def page_blocks(page: str) -> list[Block]:
             for a in ATTRIBUTE.finditer(rest):
                 words += NAME_PART.findall((a[1] or a[2] or a[3] or "").lower())
         stack.append((tag, " ".join([tag, *words])))
-        in_link += tag == "a"
+        opened[tag] += 1
+    say(pos, n)
     flush()
     return out
 
