@@ -6,7 +6,9 @@ characters) with that n-gram's per-language log frequency.
 
 The model is fitted on a bounded sample of labelled rows (``docs_per_language``, chosen by a
 hash of the row key) and keeps the ``max_words`` / ``max_grams`` most frequent entries, so its
-size is bounded by these parameters (of the labels, the ``MAX_LANGUAGES`` most frequent are learned).  Prediction covers every row and every whole text.
+size is bounded by these parameters.  Every label is learned; a table with more than
+``max_languages`` of them is refused with an error, none is left out in silence.  Prediction
+covers every row and every whole text.
 
 Words are runs of ASCII letters and non-ASCII characters (lower-cased), without the common
 non-ASCII marks and blanks.  Defined cases: null text or text without any letter gives
@@ -28,17 +30,18 @@ from tokenledger.llm import tokens as tk
 from tokenledger.llm.shared import per_block, sql_type, written
 
 MAX_GRAM = 4
-MAX_LANGUAGES = 256  # the most frequent labels are learned
 UND = "und"
 
 GAP = np.ones(256, bool)
 GAP[97:123] = GAP[65:91] = False
 GAP[0x80:] = False
 
+LETTERS = np.array([c for c in (*range(0x2000, 0x2080), *range(0x3000, 0x3040)) if chr(c).isalpha()])
+
 
 def lowered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of the lower-cased texts; non-ASCII marks (U+0080-00BF but the letters there,
-    U+2000-206F, U+3000-303F) become blanks."""
+    U+2000-207F, U+3000-303F, letters excepted) become blanks."""
     import pyarrow.compute as pc
 
     buf, offs = tk.text_block(pc.utf8_lower(texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts))
@@ -51,7 +54,8 @@ def lowered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         three = lead[(buf[lead] != 0xC2) & (lead + 2 < n)]
         b = buf[three + 1]
         three = three[((buf[three] == 0xE2) & ((b == 0x80) | (b == 0x81))) | ((buf[three] == 0xE3) & (b == 0x80))]
-        for at, k in ((two, 2), (three, 3)):
+        code = (buf[three].astype(np.int64) & 15) << 12 | (buf[three + 1].astype(np.int64) & 63) << 6 | buf[three + 2] & 63
+        for at, k in ((two, 2), (three[~np.isin(code, LETTERS)], 3)):
             for j in range(k):
                 buf[at + j] = 32
     return buf, offs
@@ -101,11 +105,13 @@ class LanguageModel:
     floor: np.ndarray          # score of a character that was never seen
 
 
-def _sample(docs: DataFrame, text: str, lang: str, key: str, per_language: int) -> DataFrame:
+def _sample(docs: DataFrame, text: str, lang: str, key: str, per_language: int, max_languages: int) -> DataFrame:
     """About ``per_language`` labelled rows of each language, by a hash of their key: a fixed
     rate for each language, so nothing is sorted, joined or gathered."""
     labelled = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    sizes = labelled.groupBy(F.col(lang).alias("l")).count().orderBy(F.desc("count"), "l").limit(MAX_LANGUAGES).collect()
+    sizes = labelled.groupBy(F.col(lang).alias("l")).count().orderBy("l").limit(max_languages + 1).collect()
+    if len(sizes) > max_languages:
+        raise ValueError(f"more than max_languages = {max_languages} labels")
     if not sizes:
         return labelled.select(F.col(lang).alias("_lang"), F.col(text).alias("_t")).limit(0)
     rates = F.create_map(*[F.lit(x) for r in sizes for x in (r["l"], min(1.0, per_language / r["count"]))])
@@ -115,7 +121,8 @@ def _sample(docs: DataFrame, text: str, lang: str, key: str, per_language: int)
 
 
 def fit_language_model(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-                       docs_per_language: int = 3000, max_words: int = 60_000, max_grams: int = 60_000) -> LanguageModel:
+                       docs_per_language: int = 3000, max_words: int = 60_000, max_grams: int = 60_000,
+                       max_languages: int = 1024) -> LanguageModel:
     """Counts of words and character n-grams by language over the bounded sample; the driver
     receives the kept entries only (at most ``max_words + MAX_GRAM * max_grams``)."""
     def counts(t: pa.Table) -> pa.Table:
@@ -145,7 +152,7 @@ def fit_language_model(docs: DataFrame, key: str = "doc_id", text: str = "text",
             "c": np.concatenate([p[3] for p in parts]).astype(np.int64),
         })
 
-    rows = per_block(_sample(docs, text, lang, key, docs_per_language), "_t", counts, "lang string, n long, h long, c long")
+    rows = per_block(_sample(docs, text, lang, key, docs_per_language, max_languages), "_t", counts, "lang string, n long, h long, c long")
     total = rows.groupBy("n", "h", "lang").agg(F.sum("c").alias("c"))
     kept = written(total.groupBy("n", "h").agg(F.sum("c").alias("all"), F.collect_list(F.struct("lang", "c")).alias("by"))
                    .filter("all >= 2"), "langid-counts")

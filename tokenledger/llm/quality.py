@@ -31,7 +31,6 @@ COMMON_WORDS = (
     "der die das den dem und in zu von mit ist nicht ein eine im für auf sich des es auch an als bei "
     "el los las y del que en un una es por con para su al lo como más pero sus no se"
 )
-MAX_LANGUAGES = 256  # the most frequent ones have a reference of their own
 
 _words = sorted(set(COMMON_WORDS.split()))
 _joined = " ".join(_words).encode()
@@ -125,10 +124,12 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.where(ok, np.sqrt(np.clip((a + b) / 2, 0, 1)), 0.0)
 
 
-def language_references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str | None, np.ndarray]:
+def language_references(docs: DataFrame, text: str = "text", lang: str = "lang",
+                        max_languages: int = 20_000) -> dict[str | None, np.ndarray]:
     """Summed relative histograms (in millionths) by language over all documents that pass the
     base rules; key None: all of them.  One row a language and block is shuffled; the driver
-    gets one a language."""
+    gets one a language, in one pass.  Every language has its own; a table with more than
+    ``max_languages`` of them is refused with an error."""
     def sums(t: pa.Table) -> pa.Table:
         buf, offs = tk.text_block(t.column("_t"))
         c = base_counts(buf, offs)
@@ -151,10 +152,14 @@ def language_references(docs: DataFrame, text: str = "text", lang: str = "lang")
     by_lang = (sums_of.groupBy("l").agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("i", "v"))).alias("h"))
                .select("l", "n", F.transform("h", lambda x: x["v"]).alias("h")))  # one short row a language
     out: dict[str | None, np.ndarray] = {None: np.zeros(N_CLASSES + N_COMMON + 1)}
-    for r in sums_of.groupBy("i").agg(F.sum("v").alias("v")).collect():
-        out[None][r["i"]] = r["v"]
-    for r in by_lang.filter("l is not null").orderBy(F.desc("n"), "l").limit(MAX_LANGUAGES).collect():
-        out[r["l"]] = np.array(r["h"], float)
+    every = by_lang.orderBy("l").limit(max_languages + 2).collect()
+    if sum(r["l"] is not None for r in every) > max_languages:
+        raise ValueError(f"more than max_languages = {max_languages} languages")
+    for r in every:
+        own = np.array(r["h"], float)
+        out[None] += own
+        if r["l"] is not None:
+            out[r["l"]] = own
     return out
 
 
