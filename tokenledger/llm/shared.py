@@ -16,13 +16,16 @@ from tokenledger.llm.tokens import blocks
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder that the session names in ``spark.checkpoint.dir``; a local one is
-    set only where the session names none (tests, one machine)."""
+    set only where the session names none and runs on one machine (tests).  A cluster session
+    without one is an error: its executors share no local folder."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="llm-shared-"))
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
@@ -39,6 +42,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or the first of ``name_``, ``name__``, ... that is no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its own columns of these names renamed, and the mapping that names them back."""
+    wanted, back = {n.lower() for n in names}, {}
+    for c in [c for c in df.columns if c.lower() in wanted]:
+        other = unused(df, f"{c}_")
+        df, back = df.withColumnRenamed(c, other), back | {other: c}
+    return df, back
+
+
 def fold(key: str, n: int) -> Column:
     """crc32 of the key's text, mod n; a null key counts as the empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % n

@@ -14,7 +14,8 @@ a chunk (``chunks``): a passage in a third of all texts is one entry a chunk.
 Defined cases: null text has no words and stays null; empty or short texts are kept; repeated
 rows remove each other when they have a full window; a null key is a key like any other;
 an empty table gives an empty result.  All columns are kept; ``n_words`` and ``n_removed`` are
-added (input columns of these names are replaced).
+added (input columns of these names are replaced).  Input columns named like the inner ones
+(``_chunk``, ``_text_hash``) pass through unchanged.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tokenledger.llm import tokens as tk
 from tokenledger.llm.chunks import bucket_bits, by_bucket, chunk_count, chunk_of, text_bytes
-from tokenledger.llm.shared import tidied
+from tokenledger.llm.shared import set_aside, tidied
 
 CHUNK, HASH = "_chunk", "_text_hash"
 
@@ -132,6 +133,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
                    join_all: bool = False) -> DataFrame:
     """``docs`` with every word of a repeated window removed: ``text`` becomes the kept words
     joined by one space where words were removed (everywhere with ``join_all``)."""
+    docs, back = set_aside(docs, CHUNK, HASH)
+    key, text = ({v: k for k, v in back.items()}.get(c, c) for c in (key, text))
     total = text_bytes(docs, text)
     n, bits = chunk_count(total), bucket_bits(total)
     keep = [c for c in docs.columns if c not in ("n_words", "n_removed")]
@@ -167,4 +170,4 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
         return out.append_column("n_words", pa.array(n_words, pa.int64())).append_column("n_removed", pa.array(n_removed, pa.int64()))
 
     marks = found.select(CHUNK, HASH, "rep")
-    return rows.groupBy(CHUNK).cogroup(marks.groupBy(CHUNK)).applyInArrow(tidied(cut), schema)
+    return rows.groupBy(CHUNK).cogroup(marks.groupBy(CHUNK)).applyInArrow(tidied(cut), schema).withColumnsRenamed(back)
