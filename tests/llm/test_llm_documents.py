@@ -162,6 +162,56 @@ def test_quality_rules(corpus, nothing):
     assert quality_rules(nothing, language_references(nothing)).count() == 0
 
 
+def test_quality_distances_and_verdict_by_brute_force(corpus):
+    from tokenledger.llm.quality import COMMON_WORDS
+
+    common = sorted(set(COMMON_WORDS.split()))
+
+    def classes(t):
+        out = [0] * 8
+        for ch in t:
+            c = ord(ch)
+            k = (0 if "a" <= ch <= "z" else 1 if "A" <= ch <= "Z" else 2 if "0" <= ch <= "9" else 4 if c == 10 else 3 if c in (32, 9, 11, 12, 13)
+                 else 5 if ch in ".,;:!?'\"()-" else 6 if c < 128 else 7)
+            out[k] += 1
+        return out
+
+    def bag(t):
+        n = Counter(w.translate(LOWER) for w in WORD.findall(t))
+        known = [n[w] for w in common]
+        return known + [sum(n.values()) - sum(known)]
+
+    def share(h):
+        return [x / sum(h) for x in h] if sum(h) else h
+
+    def distance(p, q):
+        if not sum(p) or not sum(q):
+            return 0.0
+        p, q = share(p), share(q)
+        both = sum(x * math.log2(2 * x / (x + y)) for x, y in zip(p, q) if x) + sum(y * math.log2(2 * y / (x + y)) for x, y in zip(p, q) if y)
+        return math.sqrt(max(0.0, both / 2))
+
+    data = rows(corpus)
+    own = {r["doc_id"]: r for r in rows(quality_rules(corpus, language_references(corpus)))}
+    refs = {}
+    for d in data:
+        t, r = d["text"] or "", own[d["doc_id"]]
+        if r["base_failed"] or 50 * r["n_symbols"] > r["word_chars"]:
+            continue
+        for k in {d["lang"], "*"} - {None}:
+            ref = refs.setdefault(k, ([0] * 8, [0] * (len(common) + 1)))
+            for total, h in zip(ref, (classes(t), bag(t))):
+                for i, x in enumerate(share(h)):
+                    total[i] += round(1e6 * x)
+    for d in data:
+        t, r = d["text"] or "", own[d["doc_id"]]
+        ref = refs.get(d["lang"], refs["*"])
+        dc, dw = distance(classes(t), ref[0]), distance(bag(t), ref[1])
+        assert abs(dc - r["char_distance"]) < 1e-6 and abs(dw - r["word_distance"]) < 1e-6
+        far = len(t) >= 200 and dc > 0.12 + 1 / math.sqrt(len(t)) or r["n_words"] >= 100 and dw > 0.08 + 2.5 / math.sqrt(r["n_words"])
+        assert r["kept"] == (not r["base_failed"] and not far)
+
+
 def test_quality_rules_reject_short_symbol_junk(corpus, spark):
     refs = language_references(corpus)
     clean = [r for r in corpus.filter("lang = 'en' and doc_id < 900000").collect()
@@ -222,6 +272,100 @@ def test_decontamination_one_changed_word_anywhere():
         assert [r[0] for r in got] == list(range(n))
 
 
+def test_decontamination_short_items_with_changes():
+    """Every choice of changed words that the share allows is found, at the edge of a text too."""
+    import itertools
+
+    import pyarrow as pa
+
+    from tokenledger.llm.decontam import SHORT_ITEM, needed
+
+    for n in range(1, SHORT_ITEM):
+        words, k = [f"w{i}" for i in range(n)], n - needed(n, 0.8)
+        seeds = Seeds([3], [" ".join(words)], 1)
+        picks = list(itertools.combinations(range(n), k))
+        texts = [" ".join("changed" if i in p else x for i, x in enumerate(words)) for p in picks]
+        texts += ["before " + t + " after" for t in texts] + [" ".join(words[k:]) + " after", "before " + " ".join(words[: n - k])]
+        got = seeds.verified(*item_words(pa.array(texts)), 13, 0.8, 3)
+        assert [r[0] for r in got] == list(range(len(texts)))
+        far = [" ".join("changed" if i in p else x for i, x in enumerate(words)) for p in itertools.combinations(range(n), k + 1)]
+        assert seeds.verified(*item_words(pa.array(far)), 13, 0.8, 3) == []
+
+
+def test_decontamination_against_all_diagonals():
+    """Every text, item and diagonal by brute force, over items of 1 to 40 words with changed words."""
+    import pyarrow as pa
+
+    rnd = random.Random(5)
+    items = [[f"v{rnd.randrange(400)}" for _ in range(rnd.randint(1, 40))] for _ in range(60)]
+    texts = []
+    for _ in range(400):
+        w = [f"v{rnd.randrange(400)}" for _ in range(rnd.randint(0, 30))]
+        item = list(rnd.choice(items))
+        for _ in range(rnd.randint(0, 1 + len(item) // 5)):
+            item[rnd.randrange(len(item))] = "other"
+        at = rnd.randint(0, len(w))
+        texts.append(w[:at] + item + w[at:])
+    want = set()
+    for d, t in enumerate(texts):
+        for i, x in enumerate(items):
+            need = math.ceil(0.8 * len(x))
+            for diag in range(-len(x) + 1, len(t)):
+                same = [0 <= p + diag < len(t) and t[p + diag] == w for p, w in enumerate(x)]
+                if sum(same) < min(13, need):
+                    continue
+                # the best stretch (equal words count 1, others -3; the first of several)
+                _, end, start = max((sum(1 if x else -3 for x in same[a:b]), -b, -a) for b in range(len(same) + 1) for a in range(b + 1))
+                if sum(same) >= need or sum(same[-start:-end]) >= min(13, need):
+                    want.add((d, i))
+    seeds = Seeds(list(range(len(items))), [" ".join(x) for x in items], 1)
+    got = {(r[0], seeds.ids[r[1]]) for r in seeds.verified(*item_words(pa.array([" ".join(t) for t in texts])), 13, 0.8, 3)}
+    short = {i for i, x in enumerate(items) if len(x) < 16}
+    assert {p for p in want if p[1] in short} <= got  # short items: all
+    assert len(want & got) >= 0.99 * len(want)  # longer ones: by the fixed masks
+    assert got <= want
+
+
+def test_decontamination_item_ids_keep_their_type(spark):
+    bench = spark.createDataFrame([("b-1", "one two three four five six"), ("a-1", "one two three four five six"), ("c", "zz yy"), (None, "ten")],
+                                  "item_id string, text string")
+    docs = spark.createDataFrame([(1, "x one two 3 four five six y"), (2, "zz zz yy yy"), (3, "ten yy zz")], "doc_id long, text string")
+    found = find_leaks(docs, bench)
+    assert dict(found.dtypes)["item_id"] == "string"
+    assert {(r["doc_id"], r["item_id"], r["n_match"]) for r in found.collect()} == {(1, "a-1", 5), (2, "c", 2)}
+    assert {r["doc_id"] for r in remove_leaks(docs, bench).collect()} == {2, 3}
+    assert {r["doc_id"] for r in remove_leaks(docs, bench, min_item_words=1).collect()} == {3}
+
+
+# -- names and labels
+
+def test_every_label_is_learned_or_refused(spark):
+    import pytest
+
+    texts = [(i, f"{a}{b}{c} " * 20, f"{a}{b}{c}") for i, (a, b, c) in enumerate((a, b, c) for a in "abcdefgh" for b in "ijklmnop" for c in "qrstu")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    got = rows(identify_language(docs, fit_language_model(docs)))
+    assert len(texts) == 320 and all(r["lang_pred"] == r["lang"] for r in got)
+    assert len(language_references(docs)) == 321
+    for call in (lambda: fit_language_model(docs, max_languages=319), lambda: language_references(docs, max_languages=319)):
+        with pytest.raises(ValueError):
+            call()
+
+
+def test_language_id_of_lone_letters(corpus, spark):
+    model = fit_language_model(corpus)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["々", "〆", "ⁿ", "ⁱ", "ª", "\u3031", "、", "\u2014", "\u3000", "¿"])], "doc_id long, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in identify_language(docs, model).collect()}
+    assert [got[i] != "und" for i in range(10)] == [True] * 6 + [False] * 4
+
+
+def test_substring_dedup_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", "x", 7), (2, "z a b c d y", "y", 8), (3, None, None, 9)], "doc_id long, text string, _chunk string, _TEXT_HASH int")
+    out = remove_repeats(docs, window=4, base=2)
+    assert out.columns == ["doc_id", "text", "_chunk", "_TEXT_HASH", "n_words", "n_removed"]
+    assert sorted(map(tuple, out.collect())) == [(1, "e f", "x", 7, 6, 4), (2, "z y", "y", 8, 6, 4), (3, None, None, 9, 0, 0)]
+
+
 # -- Jaccard join
 
 def brute_components(data, n, percent):

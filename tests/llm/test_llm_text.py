@@ -249,3 +249,21 @@ def test_pipeline_stages(spark, corpus, nothing, monkeypatch):
         stage_checks[name](docs, out, sf_dir)
         docs = out
     assert cp.run(spark, sf_dir).columns == docs.columns
+
+
+def test_pipeline_keeps_rows_and_columns_that_only_look_alike(spark):
+    import corpus_pipeline as cp
+
+    one, two = "the first text of its own with several words in it", "quite another text that shares none of them at all"
+    docs = spark.createDataFrame(
+        [(1, one, "en", "s", 50, "u", 3, 0.5), (1, two, "en", "s", 50, "v", 4, 0.6), (2, one, "en", "s", 50, "w", 5, 0.7), (1, one, "en", "s", 50, "u", 3, 0.5),
+         (None, two, "en", "s", 50, "x", 6, 0.8), (None, None, None, None, None, "y", 7, 0.9)],
+        "doc_id long, text string, lang string, source string, n_chars long, _key string, n_removed int, _lang_score double")
+    out = cp.near_duplicates(spark, docs, "")
+    assert out.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["text"] or "", r["_key"], r["n_removed"]) for r in out.collect()) == [(0, "", "y", 7), (1, two, "v", 4), (1, one, "u", 3)]
+    told = cp.language_id(spark, docs, "")
+    assert told.columns == docs.columns and told.schema == docs.schema
+    assert sorted(r["_lang_score"] for r in told.collect()) == [0.5, 0.5, 0.6, 0.7, 0.8]
+    cut = cp.substring_dedup(spark, docs, "")
+    assert cut.columns == docs.columns and sorted(r["n_removed"] for r in cut.collect()) == [3, 3, 4, 5, 6, 7]
