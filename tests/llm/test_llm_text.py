@@ -2,6 +2,8 @@
 
 import hashlib
 import math
+import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -267,3 +269,16 @@ def test_pipeline_keeps_rows_and_columns_that_only_look_alike(spark):
     assert sorted(r["_lang_score"] for r in told.collect()) == [0.5, 0.5, 0.6, 0.7, 0.8]
     cut = cp.substring_dedup(spark, docs, "")
     assert cut.columns == docs.columns and sorted(r["n_removed"] for r in cut.collect()) == [3, 3, 4, 5, 6, 7]
+
+
+def test_memory_of_a_block_of_segmentations():
+    r = random.Random(5)
+    text = " ".join("".join(r.choices("abcdefghilmnoprstu", k=r.randint(3, 11))) for _ in range(sentences.BLOCK // 8))  # hardly a word twice
+    lat = sentences.Lattices(sentences.load_pieces(SENTENCE_MODEL))
+    tracemalloc.start()
+    try:
+        sentences.sample_block(lat, [text], tk.mix(np.arange(1).astype(np.uint64)), 2)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 110_000_000, peak

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tokenledger.llm import tokens as tk
 from tokenledger.llm.shared import per_block, sql_type
 
-BLOCK = 500_000
+BLOCK = 200_000  # characters: the arrays of a block are what a worker holds beside its kept lattices
 LOOK = 22  # bits of the first-look tables
 KEEP_BYTES = 128_000_000  # of lattices that a task keeps from block to block
 EDGE_BYTES = 28
