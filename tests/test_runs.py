@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tokenledger.plans.pipeline import Pipeline
 from tokenledger.quality import controls as C
 from tokenledger.runs import deploy as D
-from tokenledger.runs.store import AppendLog, LayerStore, folders, latest
+from tokenledger.runs.store import AppendLog, LayerStore, folders, latest, months_side_by_side
 
 SF = "/root/testdata/sf0.001"
 DAY = dt.datetime(2026, 7, 1)
@@ -182,3 +182,31 @@ def test_shared_models_are_derived_once(spark):
     assert shared is P.pipeline(spark, SF + "/", sharing=True) and shared.shared_base
     assert shared.cost_reconciliation is shared.cost_reconciliation
     assert P.input_version(spark, SF) != P.input_version(spark, SF.replace("0.001", "0.01"))
+
+
+def test_ordered_layers_are_written_without_a_shuffle(spark, tmp_path):
+    """Attempt-level layers: each task writes its rows in their order, a file a month."""
+    assert {n for n, x in D.LAYERS.items() if x.ordered} == {"raw_telemetry", "telemetry_stg"}
+    store = LayerStore(spark, str(tmp_path))
+    df = spark.range(0, 80, 1, 4).select("id", F.expr("date_add(date'2025-01-01', cast(id % 40 as int))").alias("day"))
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    with months_side_by_side(spark):
+        staged = store.stage("t", df, "v1", "day", ("id",), ordered=True)
+    assert spark.conf.get(name) == before
+    assert staged.rows == 80 and staged.months == ["2025-01", "2025-02"] and rows(staged.df) == rows(df)
+    files = folders(spark, f"{tmp_path}/t/*/*/*.parquet")
+    assert len(files) == 6  # 4 tasks; days 0-19 lie in one month, 20-39 in two
+    for f in files:
+        ids = [r.id for r in spark.read.parquet(f).collect()]
+        assert ids == sorted(ids)
+
+
+def test_telemetry_comes_clustered_from_a_deployment(spark, runs):
+    _, good, *_ = runs
+    plain = Pipeline(spark, SF)
+    assert good.p.lines_clustered and not plain.lines_clustered
+    assert rows(good.p.raw_telemetry) == rows(plain.raw_telemetry.select(good.p.raw_telemetry.columns))
+    files = folders(spark, f"{good.base}/telemetry_stg/*/*/*.parquet")
+    keys = [tuple(r) for r in spark.read.parquet(files[0]).select("provider", "model", "provider_project_id", "application_name").collect()]
+    assert len(keys) > 10 and keys == sorted(keys)
